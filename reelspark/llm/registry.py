@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import packing, repetition
+from reelspark.llm import leakage, packing, repetition
 from reelspark.runtime import table
 
 
@@ -37,5 +37,15 @@ def p7_filling(spark: SparkSession, root: str) -> DataFrame:
     return packing.filling(_packed(spark, root)[0])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_share, p7_found, p7_containers, p7_filling)}
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p8_clean(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of the documents that may stay in the training text."""
+    documents = table(spark, root, "documents")
+    return leakage.clean(documents, leakage.leaks(documents, table(spark, root, "eval_items"))).select("doc_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_share, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
 SQL: dict[str, str] = {}
