@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import leakage, packing, repetition
+from reelspark.llm import leakage, nearest, packing, repetition
 from reelspark.runtime import table
 
 
@@ -19,6 +19,17 @@ def p3_share(spark: SparkSession, root: str) -> DataFrame:
     return repetition.share(table(spark, root, "documents"))
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    near = nearest.most_similar(table(spark, root, "frame_embeddings"), table(spark, root, "knn_probe"))
+    return near.select(F.least("id", "other").alias("vec_id_a"), F.greatest("id", "other").alias("vec_id_b")).distinct()
+
+
+def p5_nearest(spark: SparkSession, root: str) -> DataFrame:
+    """The ten most similar vectors of every vector whose id is divisible by 50, among all rows."""
+    frames = table(spark, root, "frame_embeddings")
+    return nearest.most_similar(frames, frames.where("vec_id % 50 = 0").select("vec_id"))
+
+
 def _packed(spark: SparkSession, root: str) -> tuple[DataFrame, dict[str, int]]:
     asked = {r.size_name: r.capacity_tokens for r in table(spark, root, "pack_sizes").collect()}
     return packing.pack(table(spark, root, "documents"), asked), asked
@@ -47,5 +58,5 @@ def p8_clean(spark: SparkSession, root: str) -> DataFrame:
     return leakage.clean(documents, leakage.leaks(documents, table(spark, root, "eval_items"))).select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_share, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_share, p5_found, p5_nearest, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
 SQL: dict[str, str] = {}
