@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import leakage, nearest, packing, repetition
+from reelspark.llm import leakage, nearest, packing, repetition, runs
 from reelspark.runtime import table
 
 
+def _runs(spark: SparkSession, root: str) -> DataFrame:
+    return runs.collapse(table(spark, root, "keyframe_map"), table(spark, root, "frame_embeddings"))
+
+
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return _runs(spark, root).where("n_keyframes >= 3").select("video_id", "first_frame", "last_frame")
+
+
+def p2_runs(spark: SparkSession, root: str) -> DataFrame:
+    return _runs(spark, root)
+
+
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return repetition.share(table(spark, root, "documents"), least=0.30).select("doc_id").distinct()
 
@@ -58,5 +70,5 @@ def p8_clean(spark: SparkSession, root: str) -> DataFrame:
     return leakage.clean(documents, leakage.leaks(documents, table(spark, root, "eval_items"))).select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_share, p5_found, p5_nearest, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_runs, p3_found, p3_share, p5_found, p5_nearest, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
 SQL: dict[str, str] = {}
