@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import leakage, nearest, packing, repetition, runs
+from reelspark.llm import families, leakage, nearest, packing, repetition, runs, scenes
 from reelspark.runtime import table
 
 
@@ -31,6 +31,20 @@ def p3_share(spark: SparkSession, root: str) -> DataFrame:
     return repetition.share(table(spark, root, "documents"))
 
 
+def _families(spark: SparkSession, root: str) -> families.Families:
+    seen = scenes.scene_vectors(table(spark, root, "scenes"), table(spark, root, "frame_embeddings"))
+    return families.Families(seen.select(F.col("scene_key").alias("id"), "vec"), least=0.89)
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return _families(spark, root).members.select(F.col("root").alias("scene_key_a"), F.col("id").alias("scene_key_b"))
+
+
+def p4_families(spark: SparkSession, root: str) -> DataFrame:
+    """Size and the three most typical scenes of every family."""
+    return _families(spark, root).described()
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     near = nearest.most_similar(table(spark, root, "frame_embeddings"), table(spark, root, "knn_probe"))
     return near.select(F.least("id", "other").alias("vec_id_a"), F.greatest("id", "other").alias("vec_id_b")).distinct()
@@ -70,5 +84,5 @@ def p8_clean(spark: SparkSession, root: str) -> DataFrame:
     return leakage.clean(documents, leakage.leaks(documents, table(spark, root, "eval_items"))).select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_runs, p3_found, p3_share, p5_found, p5_nearest, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p5_found, p5_nearest, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
 SQL: dict[str, str] = {}
