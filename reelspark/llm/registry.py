@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import families, leakage, nearest, packing, repetition, runs, scenes
+from reelspark.llm import families, leakage, nearest, packing, repetition, runs, scenes, variety
 from reelspark.runtime import table
 
 
@@ -56,6 +56,14 @@ def p5_nearest(spark: SparkSession, root: str) -> DataFrame:
     return nearest.most_similar(frames, frames.where("vec_id % 50 = 0").select("vec_id"))
 
 
+def p6_subset(spark: SparkSession, root: str) -> DataFrame:
+    """The varied subset of the keyframes of each collection, as many as ``subset_request`` asks for."""
+    records = variety.records_of(table(spark, root, "keyframe_indices"), table(spark, root, "frame_embeddings"))
+    asked = table(spark, root, "subset_request").select(F.col("collection").alias("group"), F.col("n_keep").alias("wanted"))
+    chosen = variety.choose(records.withColumn("group", F.substring("video_id", 1, 3)), asked)
+    return chosen.select(F.col("group").alias("collection"), "video_id", "frame_idx")
+
+
 def _packed(spark: SparkSession, root: str) -> tuple[DataFrame, dict[str, int]]:
     asked = {r.size_name: r.capacity_tokens for r in table(spark, root, "pack_sizes").collect()}
     return packing.pack(table(spark, root, "documents"), asked), asked
@@ -84,5 +92,5 @@ def p8_clean(spark: SparkSession, root: str) -> DataFrame:
     return leakage.clean(documents, leakage.leaks(documents, table(spark, root, "eval_items"))).select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p5_found, p5_nearest, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p5_found, p5_nearest, p6_subset, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
 SQL: dict[str, str] = {}
