@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import families, leakage, nearest, packing, repetition, runs, scenes, variety
+from reelspark.llm import families, leakage, nearest, nearest_time, packing, repetition, runs, scenes, variety
 from reelspark.runtime import table
 
 
+def _keyframe_of_segment(spark: SparkSession, root: str) -> DataFrame:
+    segments = table(spark, root, "asr_segments").select("video_id", "seg_no", "start", "end").distinct()
+    middle = (F.col("start") + F.col("end")) / 2
+    return nearest_time.nearest(segments, table(spark, root, "keyframe_map"), "video_id", middle, F.col("pts_time"), F.col("frame_idx"), ["seg_no"], tolerance=2.0)
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    return _keyframe_of_segment(spark, root).select("video_id", "seg_no", F.col("number").alias("frame_idx")).distinct()
+
+
+def p1_gaps(spark: SparkSession, root: str) -> DataFrame:
+    """How far each segment's keyframe is from its middle, in seconds."""
+    return _keyframe_of_segment(spark, root).select("video_id", "seg_no", F.col("number").alias("frame_idx"), "gap")
+
+
 def _runs(spark: SparkSession, root: str) -> DataFrame:
     return runs.collapse(table(spark, root, "keyframe_map"), table(spark, root, "frame_embeddings"))
 
@@ -92,5 +107,15 @@ def p8_clean(spark: SparkSession, root: str) -> DataFrame:
     return leakage.clean(documents, leakage.leaks(documents, table(spark, root, "eval_items"))).select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p5_found, p5_nearest, p6_subset, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_gaps, p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p5_found, p5_nearest, p6_subset, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
+_NEAREST = """
+    select video_id, seg_no, frame_idx, gap from (
+        select s.video_id, s.seg_no, k.frame_idx, abs(k.pts_time - (s."start" + s."end") / 2) as gap,
+            row_number() over (partition by s.video_id, s.seg_no, s."start", s."end" order by abs(k.pts_time - (s."start" + s."end") / 2), k.frame_idx) as n
+        from (select distinct video_id, seg_no, "start", "end" from asr_segments) s
+        join (select distinct video_id, frame_idx, pts_time from keyframe_map where pts_time is not null and not isnan(pts_time)) k using (video_id)
+        where abs(k.pts_time - (s."start" + s."end") / 2) <= 2.0) where n = 1"""
+SQL: dict[str, str] = {
+    "p1_found": f"select distinct video_id, seg_no, frame_idx from ({_NEAREST})",
+    "p1_gaps": _NEAREST,
+}
