@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import families, leakage, nearest, nearest_time, packing, repetition, runs, scenes, variety
+from reelspark.llm import families, leakage, nearest, nearest_time, packing, repetition, runs, scenes, subjects, variety
 from reelspark.runtime import table
 
 
@@ -107,7 +107,20 @@ def p8_clean(spark: SparkSession, root: str) -> DataFrame:
     return leakage.clean(documents, leakage.leaks(documents, table(spark, root, "eval_items"))).select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_gaps, p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p5_found, p5_nearest, p6_subset, p7_found, p7_containers, p7_filling, p8_found, p8_clean)}
+def _areas(spark: SparkSession, root: str) -> DataFrame:
+    return subjects.areas(table(spark, root, "documents"), table(spark, root, "subject_labels"), table(spark, root, "subject_areas"))
+
+
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    return _areas(spark, root).select("doc_id", "subject").distinct()
+
+
+def p9_composition(spark: SparkSession, root: str) -> DataFrame:
+    """Documents and words of each subject area."""
+    return _areas(spark, root).groupBy("subject").agg(F.count("*").alias("n_documents"), F.sum("n_words").alias("n_words"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_gaps, p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p5_found, p5_nearest, p6_subset, p7_found, p7_containers, p7_filling, p8_found, p8_clean, p9_found, p9_composition)}
 _NEAREST = """
     select video_id, seg_no, frame_idx, gap from (
         select s.video_id, s.seg_no, k.frame_idx, abs(k.pts_time - (s."start" + s."end") / 2) as gap,
