@@ -30,7 +30,9 @@ from pyspark.sql.window import Window
 from reelspark.llm import vectors
 from reelspark.runtime import cut
 
-#: Features of a group in one task's summary, and most wanted records that one agglomeration is cut at.
+#: Features of a group in the summary of one task's records and after a merge, and most wanted records that one
+#: agglomeration is cut at.
+LOCAL = 512
 ENTRIES = 1024
 FINAL = 512
 #: Wanted records for each coarse cell, and records that meet in one task when the nearest to the centres are sought.
@@ -66,25 +68,28 @@ class Features:
         """At most ``most`` features; equal records are always one."""
         now = self
         if len(now.n) > 1:
-            same = np.unique(now.centres().round(12), axis=0, return_inverse=True)[1].ravel()
+            mark = (now.centres() @ np.random.default_rng(9).normal(size=now.total.shape[1])).round(12)
+            same = np.unique(mark, return_inverse=True)[1].ravel()
             now = now.merged(same) if same.max() + 1 < len(same) else now
         while len(now.n) > most:
             c = now.centres().astype(np.float32)
             half = 0.5 * (c**2).sum(1)
-            near = np.empty(len(c), np.int64)
+            near, far = np.empty(len(c), np.int64), np.empty(len(c))
             for a in range(0, len(c), 1024):
                 d = half - c[a : a + 1024] @ c.T
-                d[np.arange(len(d)), a + np.arange(len(d))] = np.inf
+                own = np.arange(len(d))
+                d[own, a + own] = np.inf
                 near[a : a + 1024] = d.argmin(1)
+                far[a : a + 1024] = d[own, near[a : a + 1024]] + half[a : a + 1024]
+            n, total = now.n + now.n[near], now.total + now.total[near]
+            radius = (now.squares + now.squares[near]) / n - ((total / n[:, None]) ** 2).sum(1)
+            # those with the smallest radius join their nearest, if that is nearer to its own nearest, so that no ring closes
             one = np.arange(len(c))
-            pair = one[(near[near] == one) & (one < near)]
-            if not len(pair):  # a ring of equal distances
-                pair = one[:1]
-            two = near[pair]
-            n, total = now.n[pair] + now.n[two], now.total[pair] + now.total[two]
-            radius = (now.squares[pair] + now.squares[two]) / n - ((total / n[:, None]) ** 2).sum(1)
-            pick = np.argsort(radius, kind="stable")[: len(c) - most]
-            one[two[pick]] = pair[pick]
+            joins = np.flatnonzero((far > far[near]) | ((far == far[near]) & (one > near)))
+            pick = joins[np.argsort(radius[joins], kind="stable")[: max(1, min(len(c) - most, len(c) // 4))]]
+            one[pick] = near[pick]
+            while (one[one] != one).any():
+                one = one[one]
             now = now.merged(one)
         return now
 
@@ -157,11 +162,12 @@ def _summary(batches: Iterator[pa.RecordBatch], dim: int, summed: bool) -> Itera
     """Bounded features of each group among the rows of one task. ``summed``: the rows are features already and sorted by
     group; else they are records. Groups that fill the memory are given out early; a later merge puts them together."""
     held: dict[tuple, Features] = {}
+    most = ENTRIES if summed else min(LOCAL, ENTRIES)
 
     def out() -> pa.RecordBatch:
         group, salt, n, squares, total = [], [], [], [], []
         for (g, s), f in held.items():
-            f = f.bounded(ENTRIES)
+            f = f.bounded(most)
             group += [g] * len(f.n)
             salt += [s] * len(f.n)
             n.append(f.n)
@@ -188,10 +194,10 @@ def _summary(batches: Iterator[pa.RecordBatch], dim: int, summed: bool) -> Itera
             name = (names[k >> 20], k & ((1 << 20) - 1))
             new = Features(all_rows.n[at], all_rows.total[at], all_rows.squares[at])
             f = held[name].plus(new) if name in held else new
-            held[name] = f.bounded(ENTRIES) if len(f.n) > 2 * ENTRIES else f
-        if sum(len(f.n) for f in held.values()) > 64 * ENTRIES:
+            held[name] = f.bounded(most) if len(f.n) > 2 * most else f
+        if sum(len(f.n) for f in held.values()) > 96 * ENTRIES:
             for name in held:
-                held[name] = held[name].bounded(ENTRIES)
+                held[name] = held[name].bounded(most)
             if sum(len(f.n) for f in held.values()) > 48 * ENTRIES:
                 yield out()
     if held:
