@@ -15,7 +15,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 #: Hardware decoders by codec.
-HARDWARE_DECODERS = {"h264": "h264_cuvid", "hevc": "hevc_cuvid", "av1": "av1_cuvid", "vp9": "vp9_cuvid", "mpeg4": "mpeg4_cuvid"}
+HARDWARE_DECODERS = {
+    "av1": "av1_cuvid",
+    "h264": "h264_cuvid",
+    "hevc": "hevc_cuvid",
+    "mjpeg": "mjpeg_cuvid",
+    "mpeg1video": "mpeg1_cuvid",
+    "mpeg2video": "mpeg2_cuvid",
+    "mpeg4": "mpeg4_cuvid",
+    "vc1": "vc1_cuvid",
+    "vp8": "vp8_cuvid",
+    "vp9": "vp9_cuvid",
+}
 
 
 class Backend(Protocol):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reelspark.functions.vectors import let
+
 
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
@@ -49,14 +51,14 @@ def _edge(box: Column, a: int, b: int) -> Column:
 
 def box_size(box: Column) -> tuple[Column, Column]:
     """Width and height: the longer of opposite edges of the ordered corners."""
-    c = clockwise(box)
-    return F.greatest(_edge(c, 0, 1), _edge(c, 3, 2)), F.greatest(_edge(c, 0, 3), _edge(c, 1, 2))
+    both = let(clockwise(box), lambda c: F.struct(F.greatest(_edge(c, 0, 1), _edge(c, 3, 2)).alias("width"), F.greatest(_edge(c, 0, 3), _edge(c, 1, 2)).alias("height")))
+    return both["width"], both["height"]
 
 
 def large_enough(box: Column, least: float = 3.0) -> Column:
     """Whether neither side is below ``least``."""
     width, height = box_size(box)
-    return (width >= least) & (height >= least)
+    return F.least(width, height) >= least
 
 
 def rounded_key(box: Column) -> Column:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The folders of a video's artefacts, and the suffix of each (None: the bare path).
+#: The artefacts of a video, the folder of each and its suffix (empty: none). A brace stands for the collection,
+#: which is then left out of the path below.
 ARTEFACTS = {
-    "embedding_path": ("frame_embedding", ".npy"),
-    "scene_path": ("scence_boundary", ".txt"),
-    "indices_path": ("keyframes_indices_B32", ".txt"),
-    "keyframe_dir": ("keyframes", None),
-    "map_path": ("map_keyframes", ".csv"),
+    "embedding_path": ("dataraw/embeddings", ".npy"),
+    "scene_path": ("ProcessedData/scence_boundary", ".txt"),
+    "indices_path": ("dataraw/embeddings/keyframes_indices_B32_{}", ".txt"),
+    "keyframe_dir": ("ProcessedData/data/keyframes", ""),
+    "map_path": ("ProcessedData/data/map_keyframes", ".csv"),
 }
 #: File suffixes of videos and images.
 VIDEO_SUFFIXES = ("mp4", "mkv", "avi", "mov", "webm", "m4v")
@@ -51,12 +52,14 @@ def suffix(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"[^/]\.([^./]+)$", 1))
 
 
-def artefacts(path: Column, root: str = "ProcessedData") -> list[Column]:
+def artefacts(path: Column) -> list[Column]:
     """The derived paths of a video, one column each."""
     out = []
     for name, (folder, ending) in ARTEFACTS.items():
-        part = F.concat(F.lit(f"{root}/{folder}_"), collection(path)) if name == "indices_path" else F.concat(F.lit(f"{root}/{folder}/"), collection(path))
-        out.append(F.concat(part, F.lit("/"), replace_suffix(in_collection(path), ending or "")).alias(name))
+        own = "{}" in folder
+        begin = F.concat(F.lit(folder.format("")), collection(path)) if own else F.lit(folder)
+        below = replace_suffix(in_collection(path) if own else path, ending)
+        out.append(F.concat(begin, F.lit("/"), below).alias(name))
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Words that a flag column may hold.
 TRUE_WORDS = ("1", "true", "yes", "y", "keep", "kept", "selected", "keyframe")
@@ -50,7 +51,7 @@ def clean_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, r"[\x00-\x08\x0b-\x1f\x7f]", " "), r"(?U)\s+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def casefold(text: pd.Series) -> pd.Series:
     """Case folding, which unlike lower case makes a sharp s two letters. In batches, for lack of a built-in."""
     return text.map(lambda t: None if t is None else t.casefold())
@@ -106,7 +107,7 @@ def double_bitrate(rate: Column) -> Column:
     return F.concat((F.regexp_replace(rate, "M$", "").cast("int") * 2).cast("string"), F.lit("M"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def three_decimals(x: pd.Series) -> pd.Series:
     """Three decimals of the exact binary value, halves to even; Java's formatting rounds the shortest decimal form instead."""
     return x.map(lambda v: None if pd.isna(v) else f"{v:.3f}")

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once: lambda bodies would work an expression out anew for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
 
 
 def normalise(v: Column) -> Column:
     """A vector of length one; null elements for a vector of length zero."""
-    return F.transform(v, lambda x: F.try_divide(x.cast("double"), norm(v)))
+    return let(norm(v), lambda n: F.transform(v, lambda x: F.try_divide(x.cast("double"), n)))
 
 
 def squared_distance(a: Column, b: Column) -> Column:

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from reelspark.functions import geometry, values
 from reelspark.functions.paths import stem
+from reelspark.functions.vectors import let
 
 #: Keys of a detector result that may hold boxes and scores, first first.
 BOX_KEYS = ("dt_polys", "det_polys", "rec_polys", "polys", "dt_boxes", "det_boxes", "rec_boxes", "boxes")
 SCORE_KEYS = ("dt_scores", "det_scores", "scores", "confidence")
 CONFIDENCE, LEAST_LINE = 0.7, 10.0
-BOX = "array<struct<x:double,y:double>>"
+POINT = StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])
+BOX = StructType([StructField("box", ArrayType(POINT)), StructField("det_confidence", DoubleType())])
 
 
 def _number(x: object) -> float | None:
@@ -46,7 +50,7 @@ def boxes_of(result: object) -> list[tuple[list[tuple[float, float]], float | No
     if isinstance(result, dict):
         if isinstance(result.get("res"), dict):
             result = result["res"]
-        scores = next((result[k] for k in SCORE_KEYS if result.get(k) is not None), None)
+        scores = next((result[k] for k in SCORE_KEYS if k in result), None)
         for key in BOX_KEYS:
             found = _listed(result.get(key), scores)
             if found:
@@ -73,7 +77,7 @@ def _listed(value: object, scores: object) -> list[tuple[list[tuple[float, float
     return [(q, s) for q, s in quads if q]
 
 
-@F.pandas_udf(f"array<struct<box:{BOX},det_confidence:double>>")
+@F.pandas_udf(ArrayType(BOX))
 def detector_boxes(raw: pd.Series) -> pd.Series:
     """Boxes of a detector result as JSON text; none for null or malformed text. A tree walk has no built-in form."""
 
@@ -90,8 +94,14 @@ def usable_boxes(boxes: Column, width: Column, height: Column, least: float = 3.
     """Boxes moved into the image, without small ones, the first of those that are equal after rounding."""
     clipped = F.transform(boxes, lambda b: F.struct(geometry.clip(b["box"], width, height).alias("box"), b["det_confidence"].alias("det_confidence")))
     large = F.filter(clipped, lambda b: geometry.large_enough(b["box"], least))
-    keys = F.transform(large, lambda b: geometry.rounded_key(b["box"]))
-    return F.filter(large, lambda b, i: F.array_position(keys, F.get(keys, i)) == i + 1)
+    keyed = F.transform(large, lambda b: F.struct(geometry.rounded_key(b["box"]).alias("key"), b.alias("b")))
+    return let(keyed, lambda k: first_of_equal(k, lambda x: x["key"], lambda x: x["b"]))
+
+
+def first_of_equal(items: Column, key: Callable[[Column], Column], value: Callable[[Column], Column]) -> Column:
+    """Values of the elements whose key stands at no earlier place."""
+    keys = F.transform(items, key)
+    return F.transform(let(keys, lambda k: F.filter(items, lambda x, i: F.array_position(k, key(x)) == i + 1)), value)
 
 
 def reading_order(tops: list[tuple[float, float]], heights: list[float]) -> list[int]:
@@ -110,15 +120,15 @@ def reading_order(tops: list[tuple[float, float]], heights: list[float]) -> list
     return order
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(ArrayType(IntegerType()))
 def _order(xs: pd.Series, ys: pd.Series, heights: pd.Series) -> pd.Series:
     return pd.Series([reading_order(list(zip(x, y, strict=True)), list(h)) if x is not None else None for x, y, h in zip(xs, ys, heights, strict=True)])
 
 
 def in_reading_order(boxes: Column) -> Column:
     """An array of boxes (structs with ``box``) in reading order."""
-    corner = F.transform(boxes, lambda b: F.get(geometry.clockwise(b["box"]), F.lit(0)))
-    order = _order(F.transform(corner, lambda p: p["x"]), F.transform(corner, lambda p: p["y"]), F.transform(boxes, lambda b: geometry.box_size(b["box"])[1]))
+    measured = F.transform(boxes, lambda b: let(geometry.clockwise(b["box"]), lambda c: F.struct(F.get(c, F.lit(0)).alias("p"), geometry.box_size(b["box"])[1].alias("h"))))
+    order = _order(F.transform(measured, lambda m: m["p"]["x"]), F.transform(measured, lambda m: m["p"]["y"]), F.transform(measured, lambda m: m["h"]))
     return F.transform(order, lambda i: F.get(boxes, i))
 
 
@@ -149,8 +159,8 @@ def accepted_lines(lines: Column, threshold: float | None = CONFIDENCE, dedupe:
     sure = clean if threshold is None else F.filter(clean, lambda x: x["confidence"].isNull() | (x["confidence"] >= threshold))
     if not dedupe:
         return sure
-    keys = F.transform(sure, lambda x: fold(x["text"]))
-    return F.filter(sure, lambda x, i: F.array_position(keys, F.get(keys, i)) == i + 1)
+    keyed = F.transform(sure, lambda x: F.struct(fold(x["text"]).alias("key"), x.alias("line")))
+    return let(keyed, lambda k: first_of_equal(k, lambda x: x["key"], lambda x: x["line"]))
 
 
 def predictions(items: DataFrame, threshold: float | None = CONFIDENCE, dedupe: bool = True) -> DataFrame:
