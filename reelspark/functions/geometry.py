@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,9 +25,10 @@ def from_numbers(numbers: Column) -> Column:
     return F.when(F.size(numbers) == 8, F.array(*(point(at(2 * i), at(2 * i + 1)) for i in range(4)))).when(F.size(numbers) == 4, rectangle(at(0), at(1), at(2), at(3)))
 
 
-def _extreme(box: Column, key) -> Column:
-    """The first point with the least ``key``."""
-    return F.array_min(F.transform(box, lambda p, i: F.struct(key(p).alias("key"), i.alias("i"), p.alias("p"))))["p"]
+def _extreme(box: Column, key: Callable[[Column], Column]) -> Column:
+    """The first of four points with the least ``key``."""
+    points = [F.get(box, F.lit(i)) for i in range(4)]
+    return F.least(*(F.struct(key(p).alias("key"), F.lit(i).alias("i"), p.alias("p")) for i, p in enumerate(points)))["p"]
 
 
 def clockwise(box: Column) -> Column:
@@ -39,9 +42,10 @@ def clockwise(box: Column) -> Column:
 
 
 def clip(box: Column, width: Column, height: Column) -> Column:
-    """Points moved into the image."""
+    """Four points moved into the image."""
     most = lambda n: F.greatest(F.lit(0.0), n.cast("double") - 1)
-    return F.transform(box, lambda p: point(F.least(F.greatest(p["x"], F.lit(0.0)), most(width)), F.least(F.greatest(p["y"], F.lit(0.0)), most(height))))
+    moved = lambda p: point(F.least(F.greatest(p["x"], F.lit(0.0)), most(width)), F.least(F.greatest(p["y"], F.lit(0.0)), most(height)))
+    return F.array(*(moved(F.get(box, F.lit(i))) for i in range(4)))
 
 
 def _edge(box: Column, a: int, b: int) -> Column:
@@ -49,24 +53,30 @@ def _edge(box: Column, a: int, b: int) -> Column:
     return F.sqrt((p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"]))
 
 
-def box_size(box: Column) -> tuple[Column, Column]:
-    """Width and height: the longer of opposite edges of the ordered corners."""
-    both = let(clockwise(box), lambda c: F.struct(F.greatest(_edge(c, 0, 1), _edge(c, 3, 2)).alias("width"), F.greatest(_edge(c, 0, 3), _edge(c, 1, 2)).alias("height")))
+def plain(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value as it stands: for columns, where compiled code works a repeated expression out once."""
+    return use(value)
+
+
+def box_size(box: Column, bind: Callable = let) -> tuple[Column, Column]:
+    """Width and height: the longer of opposite edges of the ordered corners. ``bind``: :func:`let` inside lambda functions,
+    :func:`plain` for columns."""
+    both = bind(clockwise(box), lambda c: F.struct(F.greatest(_edge(c, 0, 1), _edge(c, 3, 2)).alias("width"), F.greatest(_edge(c, 0, 3), _edge(c, 1, 2)).alias("height")))
     return both["width"], both["height"]
 
 
-def large_enough(box: Column, least: float = 3.0) -> Column:
+def large_enough(box: Column, least: float = 3.0, bind: Callable = let) -> Column:
     """Whether neither side is below ``least``."""
-    width, height = box_size(box)
-    return F.least(width, height) >= least
+    return bind(clockwise(box), lambda c: F.least(F.greatest(_edge(c, 0, 1), _edge(c, 3, 2)), F.greatest(_edge(c, 0, 3), _edge(c, 1, 2))) >= least)
 
 
 def rounded_key(box: Column) -> Column:
     """Eight whole numbers that are equal for boxes that count as one; halves are rounded to even."""
-    return F.array_join(F.flatten(F.transform(box, lambda p: F.array(F.bround(p["x"]).cast("bigint"), F.bround(p["y"]).cast("bigint")))), ",")
+    corners = [F.get(box, F.lit(i))[c] for i in range(4) for c in ("x", "y")]
+    return F.concat_ws(",", *(F.bround(v).cast("bigint").cast("string") for v in corners))
 
 
-def crop_size(box: Column) -> tuple[Column, Column, Column]:
+def crop_size(box: Column, bind: Callable = let) -> tuple[Column, Column, Column]:
     """Width and height of the rectified crop in pixels, and whether it is turned by 90 degrees."""
-    width, height = (F.greatest(F.lit(1), s.cast("int")) for s in box_size(box))
+    width, height = (F.greatest(F.lit(1), s.cast("int")) for s in box_size(box, bind))
     return width, height, height / width >= 1.5

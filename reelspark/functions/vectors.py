@@ -13,8 +13,13 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def sum_of_squares(v: Column) -> Column:
+    """Null if there is a null among the elements."""
+    return F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+
+
 def norm(v: Column) -> Column:
-    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    return F.sqrt(sum_of_squares(v))
 
 
 def normalise(v: Column) -> Column:
@@ -27,9 +32,12 @@ def squared_distance(a: Column, b: Column) -> Column:
 
 
 def usable(v: Column, dim: int) -> Column:
-    """Whether a vector is not null, has ``dim`` finite numbers and is not all zero."""
-    good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce((F.size(v) == dim) & good & F.exists(v, lambda x: x != 0), F.lit(False))
+    """Whether a vector of single-precision numbers is not null, has ``dim`` finite ones and is not all zero.
+
+    Squares of such numbers neither overflow nor vanish in double precision, so their sum tells.
+    """
+    finite = let(sum_of_squares(v), lambda s: (s > 0) & (s < float("inf")))
+    return F.coalesce((F.size(v) == dim) & finite, F.lit(False))
 
 
 def centroid(df: DataFrame, keys: list[str], vector: str, dim: int) -> DataFrame:

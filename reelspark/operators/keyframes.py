@@ -95,26 +95,24 @@ def select(scenes: DataFrame, frames: DataFrame, dim: int = 64, half: bool = Fal
     """``video_id, frame_idx``: the keyframes of every video, each once.
 
     ``scenes``: ``video_id, start_frame, end_frame``; ``frames``: ``video_id, frame_idx, embedding``, of which unusable vectors
-    are passed over. Only scenes of at most 512 frames go to Python, so a group there is never larger; a longer scene gives one
-    keyframe for every block of 256 frame numbers, by an aggregate.
+    are passed over. A scene of more than 512 frame numbers is cut into blocks of 256, each giving one keyframe, so no group that goes
+    to Python is larger than a scene of 512.
     """
     unique = scenes.select("video_id", "start_frame", "end_frame").dropna().distinct()
     usable = frames.where(vectors.usable(F.col("embedding"), dim)).select("video_id", F.col("frame_idx").cast("bigint").alias("frame_idx"), "embedding").dropDuplicates(["video_id", "frame_idx"])
-    inside = ranges.frames_of(unique, usable)
-    key = ["video_id", "start_frame", "end_frame"]
-    size = inside.groupBy(*key).agg(F.count("*").alias("n"))
-    sized = inside.join(size, key)
+    inside = ranges.frames_of(unique, usable, bounds=True)
+    first = F.greatest("low_frame", F.lit(0))
+    long = F.col("high_frame") - first + 1 > LONG
+    cut = inside.withColumn("block", F.when(long, F.floor((F.col("frame_idx") - first) / BLOCK)).otherwise(-1))
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("frame_idx")
         x = np.array(group.embedding.tolist(), np.float32)
-        return group.iloc[select_in_scene(x, half)][["video_id", "frame_idx"]]
+        picked = select_in_scene(x, half) if group.block.iat[0] < 0 else [nearest_to_mean(x.astype(np.float16 if half else np.float64))]
+        return group.iloc[picked][["video_id", "frame_idx"]]
 
-    bounded = sized.where(F.col("n") <= LONG).select(*key, "frame_idx", "embedding")
-    clustered = bounded.groupBy(*key).applyInPandas(choose, "video_id string, frame_idx bigint")
-    large = sized.where(F.col("n") > LONG).withColumn("block", F.floor((F.col("frame_idx") - F.greatest("start_frame", F.lit(0))) / BLOCK))
-    single = vectors.nearest_to_centroid(large, [*key, "block"], "embedding", "frame_idx", dim)
-    return clustered.unionByName(single.select("video_id", "frame_idx")).distinct()
+    groups = cut.select("video_id", "start_frame", "end_frame", "block", "frame_idx", "embedding").groupBy("video_id", "start_frame", "end_frame", "block")
+    return groups.applyInPandas(choose, "video_id string, frame_idx bigint").distinct()
 
 
 def blocks(frames: DataFrame, group: str, frame: str, vector: str, dim: int, block: int = BLOCK) -> DataFrame:

@@ -125,11 +125,13 @@ def _order(xs: pd.Series, ys: pd.Series, heights: pd.Series) -> pd.Series:
     return pd.Series([reading_order(list(zip(x, y, strict=True)), list(h)) if x is not None else None for x, y, h in zip(xs, ys, heights, strict=True)])
 
 
-def in_reading_order(boxes: Column) -> Column:
-    """An array of boxes (structs with ``box``) in reading order."""
+def in_reading_order(df: DataFrame, boxes: str) -> DataFrame:
+    """``df`` with an array column of boxes (structs with ``box``) in reading order."""
     measured = F.transform(boxes, lambda b: let(geometry.clockwise(b["box"]), lambda c: F.struct(F.get(c, F.lit(0)).alias("p"), geometry.box_size(b["box"])[1].alias("h"))))
-    order = _order(F.transform(measured, lambda m: m["p"]["x"]), F.transform(measured, lambda m: m["p"]["y"]), F.transform(measured, lambda m: m["h"]))
-    return F.transform(order, lambda i: F.get(boxes, i))
+    sized = df.withColumn("_m", measured)
+    # marked as not deterministic, so that the call stays in a step of its own and is made once
+    order = _order.asNondeterministic()(F.transform("_m", lambda m: m["p"]["x"]), F.transform("_m", lambda m: m["p"]["y"]), F.transform("_m", lambda m: m["h"]))
+    return sized.withColumn("_order", order).withColumn(boxes, F.transform("_order", lambda i: F.get(F.col(boxes), i))).drop("_m", "_order")
 
 
 def upper_median(numbers: Column) -> Column:
@@ -149,14 +151,14 @@ def cleaned_lines(lines: Column) -> Column:
     return F.filter(clean, lambda x: F.coalesce(x["text"] != "", F.lit(False)))
 
 
-def accepted_lines(lines: Column, threshold: float | None = CONFIDENCE, dedupe: bool = True, fold=F.lower) -> Column:
+def accepted_lines(lines: Column, threshold: float | None = CONFIDENCE, dedupe: bool = True, fold: Callable[[Column], Column] = F.lower, clean: bool = True) -> Column:
     """Cleaned lines that are sure enough (or of unknown confidence), the first of those equal but for case.
 
     A line that is not sure enough does not stand in the way of a later equal one. ``fold`` makes keys of texts; lower case
-    differs from full case folding for a few letters (a sharp s is not two letters).
+    differs from full case folding for a few letters (a sharp s is not two letters). ``clean`` False: the lines are cleaned.
     """
-    clean = cleaned_lines(lines)
-    sure = clean if threshold is None else F.filter(clean, lambda x: x["confidence"].isNull() | (x["confidence"] >= threshold))
+    cleaned = cleaned_lines(lines) if clean else lines
+    sure = cleaned if threshold is None else F.filter(cleaned, lambda x: x["confidence"].isNull() | (x["confidence"] >= threshold))
     if not dedupe:
         return sure
     keyed = F.transform(sure, lambda x: F.struct(fold(x["text"]).alias("key"), x.alias("line")))
@@ -182,6 +184,6 @@ def grouped(records: DataFrame, group: str, image: str, fields: list[str]) -> Da
 def first_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, n_lines, n_kept, text``: cleaned lines of a text, the first of each, in one row expression without a shuffle."""
     split = F.transform(F.split(F.coalesce(text_col, F.lit("")), "\n"), lambda t: F.struct(t.alias("text"), F.lit(None).cast("double").alias("confidence")))
-    kept = F.transform(accepted_lines(F.col("_lines"), None), lambda x: x["text"])
-    return df.select(id_col, split.alias("_lines")).select(id_col, F.size(cleaned_lines(F.col("_lines"))).cast("bigint").alias("n_lines"), kept.alias("kept")).select(id_col, "n_lines", F.size("kept").cast("bigint").alias("n_kept"), F.array_join("kept", "\n").alias("text"))
-
+    lines = df.select(id_col, cleaned_lines(split).alias("_lines"))
+    kept = lines.select(id_col, F.size("_lines").cast("bigint").alias("n_lines"), F.transform(accepted_lines(F.col("_lines"), None, clean=False), lambda x: x["text"]).alias("_kept"))
+    return kept.select(id_col, "n_lines", F.size("_kept").cast("bigint").alias("n_kept"), F.array_join("_kept", "\n").alias("text"))

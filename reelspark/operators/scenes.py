@@ -70,7 +70,7 @@ def whole_video(scenes: DataFrame, videos: DataFrame, entity: str = "video_id",
     return scenes.select(entity, "scene_id", "start_frame", "end_frame").unionByName(missing.select(entity, F.lit(0).cast("bigint").alias("scene_id"), F.lit(0).cast("bigint").alias("start_frame"), (F.col(count) - 1).cast("bigint").alias("end_frame")))
 
 
-def frames_of(scenes: DataFrame, frames: DataFrame, entity: str = "video_id", frame: str = "frame_idx", chunk: int = 4096) -> DataFrame:
+def frames_of(scenes: DataFrame, frames: DataFrame, entity: str = "video_id", frame: str = "frame_idx", chunk: int = 4096, bounds: bool = False) -> DataFrame:
     """Each frame with each scene whose range holds it, both ends included.
 
     Scenes are cut to the frames of their video and then into chunks of frame numbers, so the join is an equality of video
@@ -80,4 +80,4 @@ def frames_of(scenes: DataFrame, frames: DataFrame, entity: str = "video_id", fr
     cut = scenes.join(reach, entity).where("start_frame <= end_frame").withColumn("a", F.greatest("start_frame", "low")).withColumn("b", F.least("end_frame", "high")).where("a <= b")
     parts = cut.withColumn("chunk", F.explode(F.sequence(F.floor(F.col("a") / chunk), F.floor(F.col("b") / chunk)))).drop("low", "high")
     inside = F.col(frame).between(F.col("a"), F.col("b"))
-    return parts.join(frames.withColumn("chunk", F.floor(F.col(frame) / chunk)), [entity, "chunk"]).where(inside).drop("a", "b", "chunk")
+    return parts.join(frames.withColumn("chunk", F.floor(F.col(frame) / chunk)), [entity, "chunk"]).where(inside).withColumnsRenamed({"a": "low_frame", "b": "high_frame"}).drop("chunk", *(() if bounds else ("low_frame", "high_frame")))

@@ -439,10 +439,10 @@ def box_geometry(spark: SparkSession, root: str) -> DataFrame:
     clipped = _boxes(spark, root).withColumn("box", geometry.clip(F.col("box"), F.lit(100), F.lit(60)))
     box = F.col("box")
     ordered = geometry.clockwise(box)
-    width, height = geometry.box_size(box)
-    cw, ch, turned = geometry.crop_size(box)
+    width, height = geometry.box_size(box, geometry.plain)
+    cw, ch, turned = geometry.crop_size(box, geometry.plain)
     at = lambda i, c: F.round(F.get(ordered, F.lit(i))[c], 3)
-    return clipped.select("l_orderkey", "l_linenumber", at(0, "x").alias("left_x"), at(0, "y").alias("top_y"), at(2, "x").alias("right_x"), at(2, "y").alias("bottom_y"), F.round(width, 6).alias("width"), F.round(height, 6).alias("height"), geometry.large_enough(box).alias("large"), geometry.rounded_key(box).alias("key"), long(cw).alias("crop_width"), long(ch).alias("crop_height"), turned.alias("turned")).distinct()
+    return clipped.select("l_orderkey", "l_linenumber", at(0, "x").alias("left_x"), at(0, "y").alias("top_y"), at(2, "x").alias("right_x"), at(2, "y").alias("bottom_y"), F.round(width, 6).alias("width"), F.round(height, 6).alias("height"), geometry.large_enough(box, bind=geometry.plain).alias("large"), geometry.rounded_key(box).alias("key"), long(cw).alias("crop_width"), long(ch).alias("crop_height"), turned.alias("turned")).distinct()
 
 
 @query("""
@@ -462,7 +462,7 @@ def _page_boxes(spark: SparkSession, root: str) -> DataFrame:
 def reading_order(spark: SparkSession, root: str) -> DataFrame:
     """Boxes of an order as those of a page, usable ones in reading order."""
     pages = _page_boxes(spark, root).withColumn("boxes", ocr.usable_boxes(F.col("boxes"), F.lit(100), F.lit(60)))
-    ordered = pages.select("l_orderkey", ocr.in_reading_order(F.col("boxes")).alias("boxes"))
+    ordered = ocr.in_reading_order(pages, "boxes")
     return ordered.select("l_orderkey", F.array_join(F.transform("boxes", lambda b: geometry.rounded_key(b["box"])), ";").alias("boxes"))
 
 
