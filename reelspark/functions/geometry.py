@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.functions.vectors import let
@@ -73,10 +73,40 @@ def large_enough(box: Column, least: float = 3.0, bind: Callable = let) -> Colum
 def rounded_key(box: Column) -> Column:
     """Eight whole numbers that are equal for boxes that count as one; halves are rounded to even."""
     corners = [F.get(box, F.lit(i))[c] for i in range(4) for c in ("x", "y")]
-    return F.concat_ws(",", *(F.bround(v).cast("bigint").cast("string") for v in corners))
+    return F.concat_ws(",", *(F.rint(v).cast("bigint").cast("string") for v in corners))
 
 
 def crop_size(box: Column, bind: Callable = let) -> tuple[Column, Column, Column]:
     """Width and height of the rectified crop in pixels, and whether it is turned by 90 degrees."""
     width, height = (F.greatest(F.lit(1), s.cast("int")) for s in box_size(box, bind))
     return width, height, height / width >= 1.5
+
+
+def measure(df: DataFrame, box: str, width: Column, height: Column) -> DataFrame:
+    """``df`` with the box moved into the image, and its ``corners``, ``box_width``, ``box_height`` and ``box_key``.
+
+    Step by step over single numbers, each step a few columns that the next refers to: one large expression would repeat the
+    earlier ones within it, and make a compiled method that is too long for the JVM to optimise.
+    """
+    most = {"x": F.greatest(F.lit(0.0), width.cast("double") - 1), "y": F.greatest(F.lit(0.0), height.cast("double") - 1)}
+    at = {f"_{c}{i}": F.get(box, F.lit(i))[c] for i in range(4) for c in "xy"}
+    inside = {n: F.least(F.greatest(n, F.lit(0.0)), most[n[1]]) for n in at}
+    x, y = ([F.col(f"_{c}{i}") for i in range(4)] for c in "xy")
+    keys = {"tl": [a + b for a, b in zip(x, y, strict=True)], "tr": [b - a for a, b in zip(x, y, strict=True)], "br": [-(a + b) for a, b in zip(x, y, strict=True)], "bl": [a - b for a, b in zip(x, y, strict=True)]}
+
+    def first_least(k: list[Column]) -> Column:
+        return F.when(k[0] <= F.least(*k[1:]), 0).when(k[1] <= F.least(k[2], k[3]), 1).when(k[2] <= k[3], 2).otherwise(3)
+
+    def choice(at: Column, of: list[Column]) -> Column:
+        return F.when(at == 0, of[0]).when(at == 1, of[1]).when(at == 2, of[2]).otherwise(of[3])
+
+    def edge(a: str, b: str) -> Column:
+        dx, dy = F.col(f"_{a}x") - F.col(f"_{b}x"), F.col(f"_{a}y") - F.col(f"_{b}y")
+        return F.sqrt(dx * dx + dy * dy)
+
+    out = df.withColumns(at).withColumns(inside).withColumns({f"_{c}": first_least(k) for c, k in keys.items()})
+    out = out.withColumns({f"_{c}{d}": choice(F.col(f"_{c}"), of) for c in keys for d, of in (("x", x), ("y", y))})
+    out = out.withColumns({"box_width": F.greatest(edge("tl", "tr"), edge("bl", "br")), "box_height": F.greatest(edge("tl", "bl"), edge("tr", "br"))})
+    out = out.withColumn("box_key", F.concat_ws(",", *(F.rint(n).cast("bigint").cast("string") for i in range(4) for n in (f"_x{i}", f"_y{i}"))))
+    arrays = {box: F.array(*(point(a, b) for a, b in zip(x, y, strict=True))), "corners": F.array(*(point(F.col(f"_{c}x"), F.col(f"_{c}y")) for c in keys))}
+    return out.withColumns(arrays).drop(*at, *(f"_{c}{d}" for c in keys for d in ("", "x", "y")))

@@ -93,7 +93,7 @@ def ocr_size(width: Column, height: Column, most: int = 1920, least: int = 720)
     ``most`` on the longer; halves are rounded to even, one pixel at least."""
     longest, shortest = F.greatest(width, height), F.least(width, height)
     scale = F.when(longest > most, F.lit(float(most)) / longest).when(shortest < least, F.least(F.lit(float(least)) / shortest, F.lit(float(most)) / longest)).otherwise(1.0)
-    scaled = lambda x: F.greatest(F.lit(1), F.bround(x * scale).cast("int"))
+    scaled = lambda x: F.greatest(F.lit(1), F.rint(x * scale).cast("int"))
     return scaled(width), scaled(height)
 
 

@@ -53,7 +53,8 @@ def candidates(rows: DataFrame, bases: list[str], path: str = "path") -> DataFra
     bare = ~F.col(path).rlike(r"[^/]\.[^./]+$")
     below = F.array(*(F.concat(F.lit(f"{b.rstrip('/')}/"), F.col(path)) for b in bases))
     placed = F.when(F.col(path).startswith("/"), F.array(path)).otherwise(below)
-    tried = F.flatten(F.array(*(F.transform(placed, lambda p, s=s: F.concat(p, F.lit(f".{s}"))) for s in paths.IMAGE_SUFFIXES)))
+    with_suffix = lambda s: F.transform(placed, lambda p: F.concat(p, F.lit(f".{s}")))
+    tried = F.flatten(F.array(*(with_suffix(s) for s in paths.IMAGE_SUFFIXES)))
     return rows.withColumn("_all", F.when(bare, F.concat(placed, tried)).otherwise(placed)).select(*rows.columns, F.posexplode("_all").alias("priority", "candidate")).drop("_all")
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from reelspark.functions import geometry, values
 from reelspark.functions.paths import stem
@@ -104,34 +104,43 @@ def first_of_equal(items: Column, key: Callable[[Column], Column], value: Callab
     return F.transform(let(keys, lambda k: F.filter(items, lambda x, i: F.array_position(k, key(x)) == i + 1)), value)
 
 
-def reading_order(tops: list[tuple[float, float]], heights: list[float]) -> list[int]:
-    """Order of boxes: by line from the top, within a line from the left.
+def in_reading_order(boxes: Column) -> Column:
+    """An array of boxes (structs with ``box``) in reading order: by line from the top, within a line from the left.
 
-    Boxes sorted by top and left are then moved forward one by one past those of the same line that are further right. Whether
-    two are of one line depends on them alone and is not transitive, so no sort key exists.
+    Boxes sorted by top and left are taken in turn, each put before those at the end that are of its line and further right.
+    Whether two are of one line depends on them alone and is not transitive, so no sort key exists; but it is one fold.
     """
-    order = sorted(range(len(tops)), key=lambda i: (tops[i][1], tops[i][0]))
-    near = max(LEAST_LINE, 0.5 * sorted(heights)[len(heights) // 2]) if heights else LEAST_LINE
-    for end in range(1, len(order)):
-        at = end
-        while at and abs(tops[order[at]][1] - tops[order[at - 1]][1]) < near and tops[order[at]][0] < tops[order[at - 1]][0]:
-            order[at - 1], order[at] = order[at], order[at - 1]
-            at -= 1
-    return order
-
-
-@F.pandas_udf(ArrayType(IntegerType()))
-def _order(xs: pd.Series, ys: pd.Series, heights: pd.Series) -> pd.Series:
-    return pd.Series([reading_order(list(zip(x, y, strict=True)), list(h)) if x is not None else None for x, y, h in zip(xs, ys, heights, strict=True)])
-
-
-def in_reading_order(df: DataFrame, boxes: str) -> DataFrame:
-    """``df`` with an array column of boxes (structs with ``box``) in reading order."""
-    measured = F.transform(boxes, lambda b: let(geometry.clockwise(b["box"]), lambda c: F.struct(F.get(c, F.lit(0)).alias("p"), geometry.box_size(b["box"])[1].alias("h"))))
-    sized = df.withColumn("_m", measured)
-    # marked as not deterministic, so that the call stays in a step of its own and is made once
-    order = _order.asNondeterministic()(F.transform("_m", lambda m: m["p"]["x"]), F.transform("_m", lambda m: m["p"]["y"]), F.transform("_m", lambda m: m["h"]))
-    return sized.withColumn("_order", order).withColumn(boxes, F.transform("_order", lambda i: F.get(F.col(boxes), i))).drop("_m", "_order")
+    measured = F.transform(boxes, lambda b, i: let(geometry.clockwise(b["box"]), lambda c: F.struct(F.get(c, F.lit(0))["y"].alias("y"), F.get(c, F.lit(0))["x"].alias("x"), i.alias("i"), geometry.box_size(b["box"])[1].alias("h"))))
+    return F.transform(let(measured, fold_in_order), lambda e: F.get(boxes, e["i"]))
+
+
+def fold_in_order(measured: Column) -> Column:
+    """An array of structs ``y, x, i, h`` (top, left, place, height) in reading order."""
+
+    def insert(done: Column, e: Column, near: Column) -> Column:
+        passes = F.transform(F.reverse(done), lambda d: (F.abs(e["y"] - d["y"]) < near) & (e["x"] < d["x"]))
+        first = F.array_position(passes, F.lit(False))
+        k = F.when(first > 0, first - 1).otherwise(F.size(done)).cast("int")
+        return F.concat(F.slice(done, F.lit(1), F.size(done) - k), F.array(e), F.slice(done, F.size(done) - k + 1, k))
+
+    near = F.greatest(F.lit(LEAST_LINE), 0.5 * upper_median(F.transform(measured, lambda e: e["h"])))
+    return let(near, lambda n: F.aggregate(F.array_sort(measured), F.filter(measured, lambda e: F.lit(False)), lambda done, e: insert(done, e, n)))
+
+
+def pages(rows: DataFrame, page: str, seq: str, box: str, width: Column, height: Column, least: float = 3.0) -> DataFrame:
+    """``page, boxes``: of a table with a box in each row the usable boxes of each page in reading order.
+
+    What concerns one box is compiled column code before the boxes of a page are brought together; of boxes that are equal
+    after rounding the first by ``seq`` stays.
+    """
+    measured = geometry.measure(rows.select(page, seq, F.col(box).alias("box")), "box", width, height)
+    large = measured.where(F.least("box_width", "box_height") >= least)
+    corner = F.get("corners", F.lit(0))
+    m = F.struct(corner["y"].alias("y"), corner["x"].alias("x"), F.col(seq).alias("i"), F.col("box_height").alias("h"), "box")
+    once = large.groupBy(page, "box_key").agg(F.min_by(m, seq).alias("m"))
+    # the place stands before the height, so that equal corners stay in the order of the page
+    listed = once.groupBy(page).agg(F.collect_list("m").alias("m"))
+    return listed.select(page, F.transform(fold_in_order(F.col("m")), lambda e: e["box"]).alias("boxes"))
 
 
 def upper_median(numbers: Column) -> Column:

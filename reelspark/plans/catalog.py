@@ -436,13 +436,11 @@ _CORNERS = f"""
         greatest(1, trunc(width))::bigint as crop_width, greatest(1, trunc(height))::bigint as crop_height, greatest(1, trunc(height)) / greatest(1, trunc(width)) >= 1.5 as turned
     from e""")
 def box_geometry(spark: SparkSession, root: str) -> DataFrame:
-    clipped = _boxes(spark, root).withColumn("box", geometry.clip(F.col("box"), F.lit(100), F.lit(60)))
-    box = F.col("box")
-    ordered = geometry.clockwise(box)
-    width, height = geometry.box_size(box, geometry.plain)
-    cw, ch, turned = geometry.crop_size(box, geometry.plain)
-    at = lambda i, c: F.round(F.get(ordered, F.lit(i))[c], 3)
-    return clipped.select("l_orderkey", "l_linenumber", at(0, "x").alias("left_x"), at(0, "y").alias("top_y"), at(2, "x").alias("right_x"), at(2, "y").alias("bottom_y"), F.round(width, 6).alias("width"), F.round(height, 6).alias("height"), geometry.large_enough(box, bind=geometry.plain).alias("large"), geometry.rounded_key(box).alias("key"), long(cw).alias("crop_width"), long(ch).alias("crop_height"), turned.alias("turned")).distinct()
+    m = geometry.measure(_boxes(spark, root), "box", F.lit(100), F.lit(60))
+    at = lambda i, c: F.round(F.get("corners", F.lit(i))[c], 3)
+    width, height = F.col("box_width"), F.col("box_height")
+    cw, ch = (F.greatest(F.lit(1), x.cast("int")) for x in (width, height))
+    return m.select("l_orderkey", "l_linenumber", at(0, "x").alias("left_x"), at(0, "y").alias("top_y"), at(2, "x").alias("right_x"), at(2, "y").alias("bottom_y"), F.round(width, 6).alias("width"), F.round(height, 6).alias("height"), ((width >= 3) & (height >= 3)).alias("large"), F.col("box_key").alias("key"), long(cw).alias("crop_width"), long(ch).alias("crop_height"), (ch / cw >= 1.5).alias("turned")).distinct()
 
 
 @query("""
@@ -461,9 +459,8 @@ def _page_boxes(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def reading_order(spark: SparkSession, root: str) -> DataFrame:
     """Boxes of an order as those of a page, usable ones in reading order."""
-    pages = _page_boxes(spark, root).withColumn("boxes", ocr.usable_boxes(F.col("boxes"), F.lit(100), F.lit(60)))
-    ordered = ocr.in_reading_order(pages, "boxes")
-    return ordered.select("l_orderkey", F.array_join(F.transform("boxes", lambda b: geometry.rounded_key(b["box"])), ";").alias("boxes"))
+    found = ocr.pages(_boxes(spark, root), "l_orderkey", "l_linenumber", "box", F.lit(100), F.lit(60))
+    return found.select("l_orderkey", F.array_join(F.transform("boxes", lambda b: geometry.rounded_key(b)), ";").alias("boxes"))
 
 
 @query()

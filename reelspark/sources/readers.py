@@ -62,7 +62,7 @@ def list_entry(entry: Column, ending: str | None = None) -> Column:
     if ending is None:
         return text
     same = paths.suffix(text) == ending.lstrip(".").lower()
-    return F.when(same, text).otherwise(paths.replace_suffix(text, ending))
+    return F.when(same | (text == ""), text).otherwise(paths.replace_suffix(text, ending))
 
 
 def file_list(spark: SparkSession, path: str, base: str | None = None, ending: str | None = None, fallback: str | None = None) -> DataFrame:
@@ -90,8 +90,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
         rows = spark.read.csv(path, header=True, multiLine=True, escape='"')
         return rows.toDF(*(c.lstrip("﻿") for c in rows.columns))
     if kind == "jsonl":
-        objects = spark.read.text(path).where(F.col("value").startswith("{"))
-        return spark.read.option("primitivesAsString", True).json(objects.select("value"))
+        return spark.read.option("primitivesAsString", True).option("mode", "DROPMALFORMED").json(path)
     if kind == "json":
         rows = spark.read.option("primitivesAsString", True).json(path, multiLine=True)
         there = [k for k in ROW_KEYS if k in rows.columns and rows.schema[k].dataType.typeName() == "array"]
@@ -116,7 +115,7 @@ def map_rows(spark: SparkSession, path: str) -> DataFrame:
 
 def whole_numbers(spark: SparkSession, path: str) -> DataFrame:
     """``value`` of each line of a text file of whole numbers, in order; nothing for an empty file."""
-    return spark.read.text(path).select(F.trim("value").cast("bigint").alias("value")).where("value is not null").orderBy("value")
+    return spark.read.text(path).select(F.nullif(F.trim("value"), F.lit("")).cast("bigint").alias("value")).where("value is not null").orderBy("value")
 
 
 def scene_ranges(spark: SparkSession, path: str) -> DataFrame:
