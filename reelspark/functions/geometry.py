@@ -107,6 +107,7 @@ def measure(df: DataFrame, box: str, width: Column, height: Column) -> DataFrame
     out = df.withColumns(at).withColumns(inside).withColumns({f"_{c}": first_least(k) for c, k in keys.items()})
     out = out.withColumns({f"_{c}{d}": choice(F.col(f"_{c}"), of) for c in keys for d, of in (("x", x), ("y", y))})
     out = out.withColumns({"box_width": F.greatest(edge("tl", "tr"), edge("bl", "br")), "box_height": F.greatest(edge("tl", "bl"), edge("tr", "br"))})
-    out = out.withColumn("box_key", F.concat_ws(",", *(F.rint(n).cast("bigint").cast("string") for i in range(4) for n in (f"_x{i}", f"_y{i}"))))
+    numbers = F.array(*(F.col(n) for i in range(4) for n in (f"_x{i}", f"_y{i}")))
+    out = out.withColumn("box_key", F.array_join(F.transform(numbers, lambda n: F.rint(n).cast("bigint").cast("string")), ","))
     arrays = {box: F.array(*(point(a, b) for a, b in zip(x, y, strict=True))), "corners": F.array(*(point(F.col(f"_{c}x"), F.col(f"_{c}y")) for c in keys))}
     return out.withColumns(arrays).drop(*at, *(f"_{c}{d}" for c in keys for d in ("", "x", "y")))
