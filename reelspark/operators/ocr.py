@@ -135,10 +135,11 @@ def pages(rows: DataFrame, page: str, seq: str, box: str, width: Column, height:
     """
     # one shuffle: a page's boxes end in one row, and both groupings below keep to this partitioning
     measured = geometry.measure(rows.select(page, seq, F.col(box).alias("box")).repartition(page), "box", width, height)
-    large = measured.where(F.least("box_width", "box_height") >= least)
     corner = F.get("corners", F.lit(0))
     m = F.struct(corner["y"].alias("y"), corner["x"].alias("x"), F.col(seq).alias("i"), F.col("box_height").alias("h"), "box")
-    once = large.groupBy(page, "box_key").agg(F.min_by(m, seq).alias("m")).select(page, "m")
+    # small boxes are left out by their order being null: a filter would be pushed down with all that its columns come from
+    order = F.when(F.least("box_width", "box_height") >= least, F.col(seq))
+    once = measured.groupBy(page, "box_key").agg(F.min_by(m, order).alias("m")).where("m is not null").select(page, "m")
     # the place stands before the height, so that equal corners stay in the order of the page
     listed = once.groupBy(page).agg(F.collect_list("m").alias("m"))
     return listed.select(page, F.transform(fold_in_order(F.col("m")), lambda e: e["box"]).alias("boxes"))
