@@ -25,7 +25,7 @@ from reelspark.llm.tree import Tree, sample_size
 
 #: Vectors whose exact answers set the number of visits, and the share of their answers that must be found.
 CALIBRATION = 128
-RECALL = 0.99
+RECALL = 0.997
 #: Rows of one leaf that one task takes; a fuller leaf is cut into blocks, all of which are visited.
 BLOCK_ROWS = 4096
 
