@@ -1,15 +1,15 @@
-"""Families of similar records, by parallel pivot clustering.
-
-Records with exactly equal vectors are first made one. A k-means tree, fitted on a bounded sample, gives every record a leaf
-and some leaves more to visit, as many as are needed to meet all links of a calibration sample and some to spare. Within
-a leaf pivots are chosen in rounds: a record whose hash is the smallest among its similar neighbours not yet absorbed
-becomes a pivot and absorbs them; afterwards every member goes to its most similar pivot. An exact check then ties clusters:
-pivots whose members are similar, and every visitor with each group of clusters in which it has a similar record. What leaves
-a task are these ties only, not the pairs. Families are the connected components of the ties.
-
-A leaf that holds more than ``BLOCK_ROWS`` records although the tree is finer where records are dense is cut into blocks. Its
-records visit the other blocks too, but there a record that is at least ``NEAR`` similar to its pivot is stood for by the
-pivot, so that one large family does not meet itself in every block.
+"""Families of similar records, by parallel pivot clustering and an exact comparison of the clusters.
+
+Records with exactly equal vectors are first made one. A k-means tree, fitted on a bounded sample, gives every record a leaf;
+all that the tree decides is which records meet first, not which are compared. Within a leaf pivots are chosen in rounds: a
+record whose hash is the smallest among its similar neighbours not yet absorbed becomes a pivot and absorbs them; afterwards
+every member goes to its most similar pivot. A leaf of more than ``BLOCK_ROWS`` records is cut into blocks.
+
+A cluster is then known by its pivot, its centre and the angle from the centre to its farthest member. All clusters are compared
+with all others, in pairs of blocks. Where the angle of two centres is above both radii and the angle of ``least`` together, no
+members can be similar; where the pivots are similar, the clusters are tied; in all other cases the members themselves are
+compared. So no link is missed, and none depends on the tree, its sample or the size of a leaf. Families are the connected
+components of the ties.
 """
 
 from __future__ import annotations
@@ -29,8 +29,11 @@ from reelspark.runtime import cut
 
 LEAF_ROWS = 256
 BLOCK_ROWS = 2048
-NEAR = 0.98
-CALIBRATION = 256
+#: Clusters of one block when all are compared with all, and the least number of blocks, so that there is work for many tasks.
+CLUSTERS = 65_536
+BLOCKS = 8
+#: Radians by which bounds are widened for rounding.
+SLACK = 1e-3
 
 
 def order_of(ids: np.ndarray) -> np.ndarray:
@@ -69,48 +72,86 @@ def pivots(ids: np.ndarray, x: np.ndarray, least: float) -> tuple[np.ndarray, np
     return pivot, np.einsum("ij,ij->i", x, x[pivot])
 
 
-def ties(x: np.ndarray, pivot: np.ndarray, least: float) -> np.ndarray:
-    """A number for each record that is equal for all records of a cell that a chain of similar ones links."""
-    n = len(x)
-    group = pivot.copy()
-    for a in range(0, n, 512):  # the clusters that similar records tie
-        r, c = np.nonzero(x[a : a + 512] @ x[:].T >= least)
-        pair = np.unique(np.stack([group[a + r], group[c]]), axis=1)
+def merge(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``group`` (a number for each record) after the groups of ``a`` and ``b`` are made one, pair by pair."""
+    n = len(group)
+    pair = np.unique(np.stack([group[a], group[b]]), axis=1)
+    pair = pair[:, pair[0] != pair[1]]
+    while pair.shape[1]:
+        to = np.arange(n)
+        np.minimum.at(to, pair[0], pair[1])
+        np.minimum.at(to, pair[1], pair[0])
+        while (to[to] != to).any():
+            to = to[to]
+        group = to[group]
+        pair = np.unique(to[pair], axis=1)
         pair = pair[:, pair[0] != pair[1]]
-        while pair.shape[1]:
-            to = np.arange(n)
-            np.minimum.at(to, pair[0], pair[1])
-            np.minimum.at(to, pair[1], pair[0])
-            while (to[to] != to).any():
-                to = to[to]
-            group = to[group]
-            pair = np.unique(to[pair], axis=1)
-            pair = pair[:, pair[0] != pair[1]]
     return group
 
 
+def clusters(x: np.ndarray, pivot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The places of the pivots, and of their clusters the centres in single precision, the radii as angles, and the sizes."""
+    at, inverse = np.unique(pivot, return_inverse=True)
+    total = np.zeros((len(at), x.shape[1]))
+    np.add.at(total, inverse, x)
+    centre = vectors.unit(total, np.float32)
+    radius, size = np.zeros(len(at)), np.bincount(inverse)
+    np.maximum.at(radius, inverse, np.arccos(np.clip(np.einsum("ij,ij->i", x, centre[inverse].astype(np.float64)), -1, 1)))
+    return at, centre, np.where(size > 1, radius, 0.0), size
+
+
+def meet(rows: pa.Table, least: float, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the clusters of two blocks (``side`` 0 and 1; of one block with itself if there is only side 0) the ties, and the
+    pairs whose members must be compared, as two columns of ids, the larger cluster first, and whether they are such a pair."""
+    ids, size, radius = (rows.column(c).to_numpy() for c in ("id", "n", "radius"))
+    x = vectors.from_binary(rows.column("vec"), dim)
+    centre = x.copy()
+    many = np.flatnonzero(size > 1)
+    if len(many):
+        centre[many] = vectors.from_binary(rows.column("centre").take(pa.array(many)), dim)
+    side = rows.column("side").to_numpy()
+    one = len(rows) and side.max() == 0
+    home, others = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if one else 1))
+    others = others[np.argsort(size[others] > 1, kind="stable")]
+    lone = int((size[others] == 1).sum())
+    angle = np.arccos(least) + SLACK
+    group, left = np.arange(len(ids)), []
+    for a in range(0, len(home), 256):
+        at = home[a : a + 256]
+        sims = centre[at] @ centre[others].T
+        reach = np.minimum(np.pi, angle + radius[at][:, None])
+        hit = np.concatenate([sims[:, :lone] >= np.cos(reach) - 1e-6, sims[:, lone:] >= np.cos(np.minimum(np.pi, reach + radius[others[lone:]])) - 1e-6], axis=1)
+        r, c = np.nonzero(hit)
+        r, c = at[r], others[c]
+        if one:
+            r, c = r[r < c], c[r < c]
+        for k in range(0, len(r), 65_536):
+            p, q = r[k : k + 65_536], c[k : k + 65_536]
+            new = group[p] != group[q]
+            p, q = p[new], q[new]
+            sure = np.einsum("ij,ij->i", x[p].astype(np.float64), x[q].astype(np.float64)) >= least
+            if sure.any():
+                group = merge(group, p[sure], q[sure])
+            some = ~sure & ((size[p] > 1) | (size[q] > 1))
+            left.append(np.stack([p[some], q[some]]))
+    p, q = np.concatenate(left, axis=1) if left else np.empty((2, 0), np.int64)
+    p, q = p[group[p] != group[q]], q[group[p] != group[q]]
+    p, q = np.where(size[p] >= size[q], p, q), np.where(size[p] >= size[q], q, p)
+    tied = np.flatnonzero(group != np.arange(len(ids)))
+    return np.concatenate([ids[tied], ids[p]]), np.concatenate([ids[group[tied]], ids[q]]), np.arange(len(tied) + len(p)) >= len(tied)
+
+
 def compare(home: pa.Table, visitors: pa.Table, least: float, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ties of one cell as two columns of ids."""
-    ids = home.column("id").to_numpy()
-    if not len(ids):
+    """The visitors that have a similar record in the cluster ``home``, each with that cluster's pivot, as two columns of ids."""
+    if not home.num_rows or not visitors.num_rows:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     x = vectors.from_binary(home.column("vec"), dim).astype(np.float64)
-    pivot, _ = pivots(ids, x, least)
-    group = ties(x, pivot, least)
-    a, b = [ids, ids], [ids[pivot], ids[group]]
-    groups, column = np.unique(group, return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    starts = np.searchsorted(column[order], np.arange(len(groups)))
-    own = visitors.column("id").to_numpy()
-    y = vectors.from_binary(visitors.column("vec"), dim).astype(np.float64)
-    for k in range(0, len(own), 512):
-        hit = (y[k : k + 512] @ x.T >= least)[:, order]
-        some = np.flatnonzero(hit.any(1))
-        r, c = np.nonzero(np.logical_or.reduceat(hit[some], starts, axis=1)) if len(some) else (some, some)
-        a.append(own[k + some[r]])
-        b.append(ids[groups[c]])
-    a, b = np.concatenate(a), np.concatenate(b)
-    return a[a != b], b[a != b]
+    out = []
+    for k in range(0, visitors.num_rows, 512):
+        y = vectors.from_binary(visitors.column("vec").slice(k, 512), dim).astype(np.float64)
+        out.append((y @ x.T >= least).any(1))
+    own = visitors.column("id").to_numpy()[np.concatenate(out)]
+    return own, np.full(len(own), home.column("cell")[0].as_py())
 
 
 class Families:
@@ -131,7 +172,7 @@ class Families:
         some = distinct.select("id", "vec").sample(min(1.0, wanted / max(rows, 1)), seed).toArrow()
         sample = vectors.from_binary(some.column("vec"), dim).astype(np.float64)
         self.tree = Tree(sample, seed)
-        self._calibrate(distinct, np.ascontiguousarray(sample[:: max(1, len(sample) // CALIBRATION)][:CALIBRATION]))
+        self._count(distinct)
         self.pivots = self._local(distinct)
         links = self._linked()
         if distinct.where("n > 1").limit(1).count():
@@ -139,48 +180,26 @@ class Families:
             links = links.unionByName(self.records.join(first, "vec").select(F.col("id").alias("a"), "b").where("a <> b"))
         self.members = components(links)
 
-    def _calibrate(self, distinct: DataFrame, queries: np.ndarray) -> None:
-        """Sets ``visits``, the leaves that a record visits, and ``blocks``, the blocks of each leaf.
-
-        A link is met if one of its two records visits the other's leaf. For all links of the calibration sample the number
-        of visits is found at which that happens; the largest holds, and a quarter more.
-        """
-        tree, least, dim = self.tree, self.least, self.dim
-        rank = np.zeros((len(queries), tree.leaves), np.int32)
-        for q, x in enumerate(queries.astype(np.float32)):
-            rank[q, tree.visit(x, tree.leaves)] = np.arange(tree.leaves)
-        at_home = tree.assign(queries)
+    def _count(self, distinct: DataFrame) -> None:
+        """Sets ``blocks``, the blocks of each leaf."""
+        tree, dim = self.tree, self.dim
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             count = np.zeros(tree.leaves, np.int64)
-            needed = np.zeros(tree.leaves + 1, np.int64)
             for batch in batches:
-                x = vectors.from_binary(batch.column(0), dim)
-                leaf = tree.assign(x)
-                count += np.bincount(leaf, minlength=tree.leaves)
-                for r in np.flatnonzero((queries @ x.T.astype(np.float64) >= least).any(0)):
-                    q = np.flatnonzero(queries @ x[r].astype(np.float64) >= least)
-                    theirs = rank[q, leaf[r]]
-                    if theirs.max() > 0:
-                        mine = {v: i for i, v in enumerate(tree.visit(x[r], int(theirs.max())))}
-                        theirs = np.minimum(theirs, [mine.get(v, tree.leaves) for v in at_home[q]])
-                    np.add.at(needed, theirs, 1)
-            for kind, values in enumerate((count, needed)):
-                some = np.flatnonzero(values)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind)), pa.array(some), pa.array(values[some])], ["kind", "place", "n"])
-
-        # at most two numbers for each leaf
-        found = distinct.select("vec").mapInArrow(run, "kind bigint, place bigint, n bigint").groupBy("kind", "place").agg(F.sum("n").alias("n")).toPandas()
+                count += np.bincount(tree.assign(vectors.from_binary(batch.column(0), dim)), minlength=tree.leaves)
+            some = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], ["leaf", "n"])
+
+        # at most one number for each leaf
+        found = distinct.select("vec").mapInArrow(run, "leaf bigint, n bigint").groupBy("leaf").agg(F.sum("n").alias("n")).toPandas()
         rows_in = np.zeros(tree.leaves, np.int64)
-        totals = found[found.kind == 0]
-        rows_in[totals.place.to_numpy()] = totals.n.to_numpy()
+        rows_in[found.leaf.to_numpy()] = found.n.to_numpy()
         self.blocks = np.maximum(1, -(-rows_in // BLOCK_ROWS))
-        self.needed = found[found.kind == 1].sort_values("place")
-        far = int(self.needed.place.max()) if len(self.needed) else 0
-        self.visits = min(tree.leaves, max(4, -(-5 * (far + 1) // 4)))
 
     def _local(self, distinct: DataFrame) -> DataFrame:
-        """``(cell, id, vec, pivot, similarity, stands_in)``: each record in its block with its pivot there."""
+        """``(id, vec, pivot, centre, radius, n)``: each record with its pivot; a pivot also with the centre (null if it is
+        alone), the radius and the size of its cluster."""
         tree, blocks, least, dim = self.tree, self.blocks, self.least, self.dim
         begin = np.concatenate([[0], np.cumsum(blocks)])
 
@@ -189,44 +208,54 @@ class Families:
                 ids = batch.column(0).to_numpy()
                 leaf = tree.assign(vectors.from_binary(batch.column(1), dim))
                 cell = begin[leaf] + (order_of(ids) >> np.uint64(20)).astype(np.int64) % blocks[leaf]
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(leaf), *batch.columns], ["cell", "leaf", "id", "vec"])
+                yield pa.RecordBatch.from_arrays([pa.array(cell), *batch.columns], ["cell", "id", "vec"])
 
         def choose(home: pa.Table) -> pa.Table:
             ids = home.column("id").to_numpy()
-            pivot, sim = pivots(ids, vectors.from_binary(home.column("vec"), dim).astype(np.float64), least)
-            crowded = blocks[home.column("leaf").to_numpy()] > 1
-            stands_in = crowded & (sim >= NEAR) & (pivot != np.arange(len(ids)))
-            return pa.table([home.column("cell"), home.column("id"), home.column("vec"), pa.array(ids[pivot]), pa.array(sim), pa.array(stands_in)], ["cell", "id", "vec", "pivot", "similarity", "stands_in"])
-
-        placed = distinct.select("id", "vec").mapInArrow(place, "cell bigint, leaf bigint, id bigint, vec binary")
-        return cut(placed.groupBy("cell").applyInArrow(choose, "cell bigint, id bigint, vec binary, pivot bigint, similarity double, stands_in boolean"), "pivots")
+            x = vectors.from_binary(home.column("vec"), dim).astype(np.float64)
+            pivot, _ = pivots(ids, x, least)
+            at, centre, radius, size = clusters(x, pivot)
+            place = np.full(len(ids), -1)
+            place[at] = np.arange(len(at))
+            here = pa.array(place, mask=place < 0)
+            centres = vectors.to_binary(centre).take(pa.array(place, mask=(place < 0) | (size[place] == 1)))
+            return pa.table([home.column("id"), home.column("vec"), pa.array(ids[pivot]), centres, pa.array(radius).take(here), pa.array(size).take(here)], ["id", "vec", "pivot", "centre", "radius", "n"])
+
+        placed = distinct.select("id", "vec").mapInArrow(place, "cell bigint, id bigint, vec binary")
+        return cut(placed.groupBy("cell").applyInArrow(choose, "id bigint, vec binary, pivot bigint, centre binary, radius double, n bigint"), "pivots")
 
     def _linked(self) -> DataFrame:
-        """``(a, b)``: the ties of every cell among its records and their visitors."""
-        tree, visits, least, dim = self.tree, self.visits, self.least, self.dim
-        begin = np.concatenate([[0], np.cumsum(self.blocks)])
+        """``(a, b)``: the ties of all members with their pivots and of all clusters with each other."""
+        least, dim = self.least, self.dim
+        heads = self.pivots.where("n is not null").select("id", "vec", "centre", "radius", "n")
+        blocks = max(BLOCKS, -(-heads.count() // CLUSTERS))
 
-        def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for at in range(0, whole.num_rows, 1024):
-                    batch = whole.slice(at, 1024)
-                    own = batch.column(0).to_numpy()
-                    x = vectors.from_binary(batch.column(2), dim)
-                    row, cells = [], []
-                    for i in range(len(own)):
-                        others = [c for v in tree.visit(x[i], visits) for c in range(begin[v], begin[v + 1]) if c != own[i]]
-                        row += [i] * len(others)
-                        cells += others
-                    pick = pa.array(row, pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), batch.column(1).take(pick), batch.column(2).take(pick)], ["cell", "id", "vec"])
-
-        def tie(home: pa.Table, visitors: pa.Table) -> pa.Table:
-            a, b = compare(home, visitors, least, dim)
-            return pa.table([pa.array(a), pa.array(b)], ["a", "b"])
-
-        home = self.pivots.select("cell", "id", "vec")
-        visitors = self.pivots.where("not stands_in").select("cell", "id", "vec").mapInArrow(visit, "cell bigint, id bigint, vec binary")
-        return home.groupBy("cell").cogroup(visitors.groupBy("cell")).applyInArrow(tie, "a bigint, b bigint")
+                for at in range(0, whole.num_rows, 4096):
+                    batch = whole.slice(at, 4096)
+                    own = (order_of(batch.column(0).to_numpy()) >> np.uint64(20)).astype(np.int64) % blocks
+                    for other in range(blocks):
+                        cell = np.minimum(own, other) * blocks + np.maximum(own, other)
+                        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array((own > other).astype(np.int64)), *batch.columns], ["cell", "side", *batch.schema.names])
+
+        def tie(rows: pa.Table) -> pa.Table:
+            first, last = divmod(rows.column("cell")[0].as_py(), blocks)
+            if first != last and len(set(rows.column("side").unique().to_pylist())) < 2:  # the other block is empty
+                rows = rows.slice(0, 0)
+            return pa.table([pa.array(z) for z in meet(rows, least, dim)], ["a", "b", "open"])
+
+        def look(home: pa.Table, visitors: pa.Table) -> pa.Table:
+            return pa.table([pa.array(z) for z in compare(home, visitors, least, dim)], ["a", "b"])
+
+        sent = heads.mapInArrow(send, "cell bigint, side bigint, id bigint, vec binary, centre binary, radius double, n bigint")
+        met = cut(sent.groupBy("cell").applyInArrow(tie, "a bigint, b bigint, open boolean"), "met")
+        links = self.pivots.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).unionByName(met.where("not open").select("a", "b"))
+        members = self.pivots.select("pivot", "id", "vec")
+        pairs = met.where("open").select("a", "b")
+        home = members.join(pairs.select(F.col("a").alias("pivot")).distinct(), "pivot", "left_semi").select(F.col("pivot").alias("cell"), "id", "vec")
+        visitors = members.join(pairs.select("a", F.col("b").alias("pivot")), "pivot").select(F.col("a").alias("cell"), F.col("id").alias("id"), F.col("vec").alias("vec"))
+        return links.unionByName(home.groupBy("cell").cogroup(visitors.groupBy("cell")).applyInArrow(look, "a bigint, b bigint"))
 
     def described(self, typical: int = 3) -> DataFrame:
         """``(family, size, id, rank, similarity)``: of each family of two or more its size and the ``typical`` records most

@@ -92,3 +92,17 @@ def test_no_records(spark):
     one = spark.createDataFrame([(1, np.eye(64, dtype=np.float32)[0].tobytes())], "id long, vec binary")
     found = families.Families(one, 0.89)
     assert found.members.count() == 0 and found.described().count() == 0
+
+
+def test_far_links_are_met(spark, monkeypatch):
+    """Pairs just above the threshold among many records without one, in a tree of many leaves."""
+    monkeypatch.setattr(families, "LEAF_ROWS", 16)
+    r = np.random.default_rng(8)
+    x = vectors.unit(r.normal(size=(3000, 64)))
+    for i in range(0, 60, 2):
+        away = r.normal(size=64)
+        away -= away @ x[i] * x[i]
+        x[i + 1] = 0.893 * x[i] + np.sqrt(1 - 0.893**2) * away / np.linalg.norm(away)
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "id long, vec binary")
+    assert {(m.root, m.id) for m in families.Families(df, 0.89).members.collect()} == {(i, i + 1) for i in range(0, 60, 2)}
