@@ -106,3 +106,21 @@ def test_far_links_are_met(spark, monkeypatch):
     x = x.astype(np.float32)
     df = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "id long, vec binary")
     assert {(m.root, m.id) for m in families.Families(df, 0.89).members.collect()} == {(i, i + 1) for i in range(0, 60, 2)}
+
+
+def test_stood_for_members_link_clouds(spark, monkeypatch):
+    """Two dense clouds in an over-full leaf, linked only by one member of each that is very similar to its own pivot."""
+    monkeypatch.setattr(families, "BLOCK_ROWS", 24)
+    monkeypatch.setattr(families, "sample_size", lambda *_: 8)  # one leaf, cut into blocks
+    r = np.random.default_rng(6)
+
+    def at(degrees):
+        return np.r_[np.cos(np.radians(degrees)), np.sin(np.radians(degrees)), np.zeros(62)]
+
+    cloud = [at(d) + 0.002 * r.normal(size=64) for d in (0, 45) for _ in range(200)]
+    x = vectors.unit(np.array([*cloud, at(10), at(35)])).astype(np.float32)
+    ids = np.arange(1, 5000)
+    last = ids[np.argsort(families.order_of(ids))[-2:]]  # of all these the last to become pivots
+    ids = [*np.setdiff1d(ids, last)[:400].tolist(), *last.tolist()]
+    df = spark.createDataFrame([(i, v.tobytes()) for i, v in zip(ids, x)], "id long, vec binary")
+    assert {m.id: m.root for m in families.Families(df, 0.89).members.collect()} == {i: min(ids) for i in ids if i != min(ids)}
