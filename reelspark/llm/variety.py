@@ -233,9 +233,10 @@ def _cut(group: pa.Table, dim: int) -> pa.Table:
 
 
 def _nearest(records: pa.Table, entries: pa.Table, dim: int, names: list[str]) -> pa.Table:
-    """Of one part of a group: every record with its label, or, where the label is final, only those near enough to be chosen."""
+    """Of one part of a group: every record with its label; where the label is final, without its vector and with whether it
+    is near enough to be chosen."""
     if not records.num_rows or not entries.num_rows:
-        return pa.table({n: pa.array([], records.schema.field(n).type) for n in names[:3]} | {"vec": pa.array([], pa.binary()), "label": pa.array([], pa.int64()), "quota": pa.array([], pa.int64()), "deeper": pa.array([], pa.bool_()), "distance": pa.array([], pa.float64())})
+        return pa.table({n: pa.array([], records.schema.field(n).type) for n in names[:3]} | {"vec": pa.array([], pa.binary()), "label": pa.array([], pa.int64()), "quota": pa.array([], pa.int64()), "deeper": pa.array([], pa.bool_()), "distance": pa.array([], pa.float64()), "first": pa.array([], pa.bool_()), "part": pa.array([], pa.int64())})
     c = vectors.from_binary(entries.column("entry"), dim, np.float64)
     centre = vectors.from_binary(entries.column("centre"), dim, np.float64)
     half = 0.5 * (c**2).sum(1)
@@ -247,15 +248,21 @@ def _nearest(records: pa.Table, entries: pa.Table, dim: int, names: list[str]) -
         distance.append(((x - centre[near]) ** 2).sum(1))
     at, distance = np.concatenate(at), np.concatenate(distance)
     label, quota = entries.column("label").to_numpy()[at], entries.column("quota").to_numpy()[at]
-    keep = np.arange(len(at))
-    if not entries.column("deeper")[0].as_py():
+    deeper = bool(entries.column("deeper")[0].as_py())
+    first = np.ones(len(at), bool)
+    if not deeper:
         who = records.select(names[1:3]).to_pandas()
         order = np.lexsort((who[names[2]].to_numpy(), who[names[1]].to_numpy(), distance, label))
         rank = np.arange(len(order)) - np.searchsorted(label[order], label[order])
-        keep = order[rank < quota[order]]
-    pick = pa.array(keep)
-    kept = records.select([*names[:3], "vec"]).take(pick)
-    return pa.table([*kept.columns, pa.array(label[keep]), pa.array(quota[keep]), pa.array(np.full(len(keep), bool(entries.column("deeper")[0].as_py()))), pa.array(distance[keep])], [*names[:3], "vec", "label", "quota", "deeper", "distance"])
+        first[order] = rank < quota[order]
+    vec = records.column("vec") if deeper else pa.nulls(len(at), pa.binary())
+    return pa.table([*records.select(names[:3]).columns, vec, pa.array(label), pa.array(quota), pa.array(np.full(len(at), deeper)), pa.array(distance), pa.array(first), records.column("part")], [*names[:3], "vec", "label", "quota", "deeper", "distance", "first", "part"])
+
+
+def _again(labels: pa.Table) -> pa.Table:
+    """How many of the records missing in a group each of its labels gives, in proportion to what was wanted of it."""
+    more = shares(labels.column("missing")[0].as_py(), labels.column("quota").to_numpy().astype(float), labels.column("free").to_numpy())
+    return pa.table([*labels.select(["path", "label"]).columns, pa.array(more)], ["path", "label", "more"])
 
 
 def _keyframe_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,14 +288,19 @@ def records_of(indices: DataFrame, frames: DataFrame, vector_col: str = "embeddi
 
 
 def choose(records: DataFrame, request: DataFrame, dim: int = vectors.DIM) -> DataFrame:
-    """``(group, video_id, frame_idx)``: the records chosen.
+    """``(group, video_id, frame_idx)``: the records of :func:`marked`."""
+    return marked(records, request, dim).drop("filled")
+
+
+def marked(records: DataFrame, request: DataFrame, dim: int = vectors.DIM) -> DataFrame:
+    """``(group, video_id, frame_idx, filled)``: the records chosen, and which fill up for labels with too few records.
 
     ``records``: ``group, video_id, frame_idx, vec``, each record once; ``request``: ``group, wanted``, each group once (of
     several the largest number holds).
     """
     ask = request.select("group", F.col("wanted").cast("bigint").alias("wanted")).where("wanted > 0 and group is not null").groupBy("group").agg(F.max("wanted").alias("wanted"))
     whole = cut(records.select("group", "video_id", "frame_idx", "vec").join(F.broadcast(ask) if _small(ask) else ask, "group", "left_semi"), "records")
-    now, asked, chosen = whole.withColumn("root", F.col("group")), ask, []
+    now, asked, chosen, final = whole.withColumn("root", F.col("group")), ask, [], []
     names = ["group", "video_id", "frame_idx"]
     cf = "group string, salt bigint, n double, squares double, total binary"
     while True:
@@ -299,10 +311,11 @@ def choose(records: DataFrame, request: DataFrame, dim: int = vectors.DIM) -> Da
         spread = entries.groupBy("group").agg(F.max("spread").alias("spread"))
         parts = now.join(spread, "group").withColumn("part", F.pmod(F.xxhash64("video_id", "frame_idx"), F.col("spread")))
         copies = entries.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("spread") - 1)))
-        near = parts.groupBy("group", "part").cogroup(copies.groupBy("group", "part")).applyInArrow(lambda r, e: _nearest(r, e, dim, names), "group string, video_id string, frame_idx bigint, vec binary, label bigint, quota bigint, deeper boolean, distance double")
+        near = parts.groupBy("group", "part").cogroup(copies.groupBy("group", "part")).applyInArrow(lambda r, e: _nearest(r, e, dim, names), "group string, video_id string, frame_idx bigint, vec binary, label bigint, quota bigint, deeper boolean, distance double, first boolean, part bigint")
         near = cut(near, "near")
         rank = F.row_number().over(Window.partitionBy("group", "label").orderBy("distance", "video_id", "frame_idx"))
-        chosen.append(near.where("not deeper").withColumn("rank", rank).where("rank <= quota").select(F.substring_index("group", "\x00", 1).alias("group"), "video_id", "frame_idx"))
+        chosen.append(near.where("not deeper and first").withColumn("rank", rank).where("rank <= quota").select(F.substring_index("group", "\x00", 1).alias("group"), "video_id", "frame_idx"))
+        final.append(near.where("not deeper").select(F.substring_index("group", "\x00", 1).alias("group"), F.col("group").alias("path"), "label", "part", "quota", "video_id", "frame_idx", "distance"))
         deeper = entries.where("deeper")
         if not deeper.limit(1).count():
             break
@@ -310,14 +323,19 @@ def choose(records: DataFrame, request: DataFrame, dim: int = vectors.DIM) -> Da
         asked = deeper.select(under.alias("group"), F.col("quota").alias("wanted")).distinct()
         now = near.where("deeper").select(under.alias("group"), "video_id", "frame_idx", "vec")
     picked = cut(reduce(DataFrame.unionByName, chosen), "picked")
-    # a centre may lose all its records to its neighbours' centres; what is missing then comes from the rest of the group
+    # a centre may lose all its records to its neighbours' centres; what is missing is then wanted of the group's other labels
     have = picked.groupBy("group").agg(F.count("*").alias("have"))
     there = whole.groupBy("group").agg(F.count("*").alias("there"))
     short = there.join(ask, "group").join(have, "group", "left").select("group", (F.least("there", "wanted") - F.coalesce("have", F.lit(0))).alias("missing")).where("missing > 0")
+    picked, short = picked.withColumn("filled", F.lit(False)), cut(short, "short")
     if short.limit(1).count():
-        rest = whole.select(*names).join(picked, names, "left_anti").join(short, "group")
-        rank = F.row_number().over(Window.partitionBy("group").orderBy(F.xxhash64("video_id", "frame_idx"), "video_id", "frame_idx"))
-        picked = picked.unionByName(rest.withColumn("rank", rank).where("rank <= missing").select(*names))
+        rest = reduce(DataFrame.unionByName, final).join(short, "group").join(picked, names, "left_anti")
+        labels = rest.groupBy("group", "path", "label").agg(F.count("*").alias("free"), F.max("quota").alias("quota"), F.max("missing").alias("missing"))
+        given = cut(labels.groupBy("group").applyInArrow(_again, "path string, label bigint, more bigint").where("more > 0"), "given")
+        rank = F.row_number().over(Window.partitionBy("path", "label", "part").orderBy("distance", "video_id", "frame_idx"))
+        last = F.row_number().over(Window.partitionBy("path", "label").orderBy("distance", "video_id", "frame_idx"))
+        next_ones = rest.join(given, ["path", "label"]).withColumn("rank", rank).where("rank <= more").withColumn("rank", last).where("rank <= more")
+        picked = picked.unionByName(next_ones.select(*names, F.lit(True).alias("filled")))
     return picked
 
 

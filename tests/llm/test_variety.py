@@ -1,10 +1,11 @@
 """The varied subset: exact size, coverage, and Ward linkage against a plain version."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from reelspark.llm import variety
+from reelspark.llm import variety, vectors
 
 
 def plain_ward(x, k):
@@ -65,3 +66,27 @@ def test_chosen(spark, monkeypatch, small):
     if not small:
         assert len({kind[f] for g, _, f in got if g == "K01"}) >= 10
     assert variety.choose(records.limit(0), ask, dim=8).count() == 0 and variety.choose(records, ask.limit(0), dim=8).count() == 0
+
+
+def test_missing_records_come_from_all_labels(spark, monkeypatch):
+    """A label with fewer records than wanted of it: the others give the rest alike, however frequent they are."""
+    real, dirs = variety._cut, np.eye(8)[:3]
+
+    def wanting(group, dim):
+        out = real(group, dim)
+        label = (vectors.from_binary(out.column("entry"), dim, np.float64) @ dirs.T).argmax(1)
+        new = {"label": pa.array(label), "centre": vectors.to_binary(dirs[label]), "quota": pa.array(np.array([1, 11, 1])[label])}
+        return pa.table([new.get(n, out.column(n)) for n in out.column_names], out.column_names)
+
+    monkeypatch.setattr(variety, "_cut", wanting)
+    r = np.random.default_rng(3)
+    kind = [0] * 400 + [1] + [2] * 30
+    x = dirs[kind] + 0.02 * r.normal(size=(len(kind), 8))
+    rows = [("g", "v", i, v.astype(np.float32).tobytes()) for i, v in enumerate(x)]
+    records = spark.createDataFrame(rows, "group string, video_id string, frame_idx bigint, vec binary")
+    got = [c.frame_idx for c in variety.choose(records, spark.createDataFrame([("g", 13)], "group string, wanted int"), dim=8).collect()]
+    assert len(set(got)) == 13 and [sum(kind[i] == k for i in got) for k in range(3)] == [6, 1, 6]
+    unit = vectors.unit(x)
+    for k in (0, 2):
+        near = sorted((i for i in range(len(kind)) if kind[i] == k), key=lambda i: ((unit[i] - dirs[k]) ** 2).sum())
+        assert set(near[:6]) <= set(got)
