@@ -32,7 +32,7 @@ from reelspark.runtime import cut
 
 #: Features of a group in the summary of one task's records and after a merge, and most wanted records that one
 #: agglomeration is cut at.
-LOCAL = 512
+LOCAL = 1024
 ENTRIES = 1024
 FINAL = 512
 #: Wanted records for each coarse cell, and records that meet in one task when the nearest to the centres are sought.

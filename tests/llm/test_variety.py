@@ -90,3 +90,9 @@ def test_missing_records_come_from_all_labels(spark, monkeypatch):
     for k in (0, 2):
         near = sorted((i for i in range(len(kind)) if kind[i] == k), key=lambda i: ((unit[i] - dirs[k]) ** 2).sum())
         assert set(near[:6]) <= set(got)
+
+
+def test_a_task_keeps_as_many_features_as_a_merge():
+    x = np.random.default_rng(5).normal(size=(900, 8)).astype(np.float32)
+    rows = pa.RecordBatch.from_arrays([pa.array(["g"] * 900), pa.array([0] * 900), vectors.to_binary(x)], ["group", "salt", "vec"])
+    assert sum(b.num_rows for b in variety._summary(iter([rows, rows.slice(0, 0), rows]), 8, False)) == 900
