@@ -47,7 +47,11 @@ def centroid(df: DataFrame, keys: list[str], vector: str, dim: int) -> DataFrame
 
 
 def nearest_to_centroid(df: DataFrame, keys: list[str], vector: str, order: str, dim: int) -> DataFrame:
-    """``keys``, ``order`` of the row nearest to its group's centroid, and its ``distance``; the first of equals."""
+    """``keys``, ``order`` of the row nearest to its group's centroid, and its ``distance``; the first of equals.
+
+    Rows without a usable vector are left out, and rows that repeat ``keys`` and ``order`` count once.
+    """
+    df = df.where(usable(F.col(vector), dim)).dropDuplicates([*keys, order])
     near = df.join(centroid(df, keys, vector, dim), keys).withColumn("distance", squared_distance(F.col(vector), F.col("centroid")))
     best = near.groupBy(*keys).agg(F.min(F.struct("distance", order)).alias("best"))
     return best.select(*keys, F.col(f"best.{order}").alias(order), F.col("best.distance").alias("distance"))

@@ -111,3 +111,9 @@ def test_vectors(spark):
     df = spark.createDataFrame([("a", i, [float(v), 0.0]) for i, v in enumerate((0, 1, 5, 1))] + [("b", 9, [1.0, 1.0])], "k string, i int, v array<float>")
     got = {r.k: r.i for r in vectors.nearest_to_centroid(df, ["k"], "v", "i", 2).collect()}
     assert got == {"a": 1, "b": 9}
+
+
+def test_nearest_to_centroid_leaves_out_unusable_and_repeated(spark):
+    rows = [("a", 1, None), ("a", 2, [1.0]), ("a", 3, [float("nan"), 1.0]), ("a", 4, [0.0, 0.0]), ("a", 5, [1.0, 1.0]), ("a", 6, [2.0, 1.0]), ("a", 7, [6.0, 1.0]), ("a", 7, [6.0, 1.0])]
+    df = spark.createDataFrame(rows, "k string, i long, v array<float>")
+    assert [tuple(r) for r in vectors.nearest_to_centroid(df, ["k"], "v", "i", 2).collect()] == [("a", 6, 1.0)]
