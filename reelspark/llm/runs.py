@@ -3,7 +3,8 @@
 The keyframes of a video in frame order are cut into chunks of frame ranges. Each chunk encodes its runs locally. The first
 and the last run of a chunk stay open: a summary of runs is associative, so summaries of neighbouring chunks are merged,
 many at a time and level by level, joining a chunk's last run with the next chunk's first where they are compatible. No task
-holds more than a chunk, or the open runs of ``FAN`` chunks, so a video may be any part of the table.
+holds more than a chunk, or the open runs of ``FAN`` chunks, so a video may be any part of the table. Vectors of frames that are
+no keyframes are held back by a filter of bounded size before the shuffle.
 
 Defined results: keyframes without a usable vector (null, wrong length, not finite, all zero, or absent) are passed over,
 their neighbours are compared with each other; repeated keyframes and frames count once; null video or frame is left out;
@@ -107,7 +108,8 @@ def collapse(keyframes: DataFrame, frames: DataFrame, least: float = 0.98, vecto
     time = F.col("pts_time").cast("double")
     keys = keyframes.select("video_id", F.col("frame_idx").cast("bigint").alias("frame_idx"), F.when(~F.isnan(time), time).alias("pts_time")).dropna(subset=["video_id", "frame_idx"])
     keys = keys.groupBy("video_id", "frame_idx").agg(F.min("pts_time").alias("pts_time"))
-    packed = vectors.pack(frames.select("video_id", F.col("frame_idx").cast("bigint").alias("frame_idx"), vector_col), ["video_id", "frame_idx"], vector_col, dim)
+    among = vectors.Bloom(keyframes.select("video_id", F.col("frame_idx").cast("bigint").alias("frame_idx")).dropna(), ["video_id", "frame_idx"])
+    packed = vectors.pack(frames.select("video_id", F.col("frame_idx").cast("bigint").alias("frame_idx"), vector_col), ["video_id", "frame_idx"], vector_col, dim, among)
     rows = packed.select("video_id", "frame_idx", F.lit(0).alias("kind"), "vec", F.lit(None).cast("double").alias("pts_time")).unionByName(keys.select("video_id", "frame_idx", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("vec"), "pts_time"))
     rows = rows.withColumn("chunk", F.floor(F.col("frame_idx") / CHUNK))
     found = cut(vectors.grouped(rows, ["video_id", "chunk"], ["frame_idx", "kind"]).mapInArrow(lambda b: encode(b, least, dim), SUMMARY), "runs")

@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIM = 64
-#: Keys remembered by a task to drop repeated rows before the shuffle; when full it starts anew, so memory is bounded.
-SEEN = 500_000
+#: Keys remembered by a task to drop repeated rows before the shuffle (a power of two), and texts that it numbers.
+SLOTS = 1 << 18
+NAMES = 1 << 18
+#: Most bits of a filter of keys: 16 MB on the driver and in every executor.
+MOST_BITS = 1 << 27
 
 
 def usable(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -24,10 +27,16 @@ def usable(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     flat = values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False)  # a null becomes NaN
     if not len(flat):
         return np.empty(0, np.int64), np.empty((0, dim), np.float32)
-    at = np.flatnonzero((np.diff(offsets) == dim) & np.asarray(column.is_valid()))
-    rows = flat[offsets[at][:, None] + np.arange(dim)]
-    good = np.isfinite(rows).all(1) & rows.any(1)
-    return at[good], rows[good]
+    right = np.diff(offsets) == dim
+    if column.null_count == 0 and right.all():
+        at, rows = np.arange(len(column)), flat[offsets[0] : offsets[-1]].reshape(-1, dim)
+    else:
+        at = np.flatnonzero(right & np.asarray(column.is_valid()))
+        rows = flat[offsets[at][:, None] + np.arange(dim)]
+    # sums of squares of single-precision numbers neither overflow nor vanish in double precision
+    size = np.einsum("ij,ij->i", rows, rows, dtype=np.float64)
+    good = (size > 0) & (size < np.inf)
+    return (at, rows) if good.all() else (at[good], rows[good])
 
 
 def to_binary(rows: np.ndarray) -> pa.Array:
@@ -51,36 +60,110 @@ def from_binary(column: pa.Array | pa.ChunkedArray, dim: int, kind: type = np.fl
     return np.frombuffer(data, np.uint8)[first : first + len(column) * dim * np.dtype(kind).itemsize].view(kind).reshape(len(column), dim)
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Whole numbers spread over all of 64 bits, different for different ones."""
+    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def mixed_rows(raw: np.ndarray) -> np.ndarray:
+    """A number for each row of single-precision numbers, equal for equal rows."""
+    return (raw.view(np.uint32).astype(np.uint64) * (2 * np.arange(raw.shape[1], dtype=np.uint64) + 1)).sum(1) * np.uint64(0x9E3779B97F4A7C15)
+
+
 def unit(rows: np.ndarray, kind: type = np.float64) -> np.ndarray:
-    """Rows scaled to length one, worked out in double precision and safe for very small and very large numbers."""
+    """Rows scaled to length one, safe for very small and very large numbers; lengths are worked out in double precision."""
+    if kind == np.float32 and rows.dtype == np.float32:
+        size = np.sqrt(np.einsum("ij,ij->i", rows, rows, dtype=np.float64))
+        if len(rows) and size.min() > 1e-30 and size.max() < 1e30:
+            return rows / size.astype(np.float32)[:, None]
     rows = rows.astype(np.float64)
     rows /= np.abs(rows).max(1, keepdims=True)
-    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    rows /= np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
     return rows.astype(kind, copy=False)
 
 
-def pack(df: DataFrame, keys: list[str], vector_col: str = "embedding", dim: int = DIM) -> DataFrame:
-    """``keys`` and ``vec`` (the numbers as bytes) of the rows with a usable vector and no null among ``keys``.
-
-    Most repeated rows are dropped before any shuffle; the rest must be dropped by what follows.
+class Sent:
+    """Which keys a task has sent already: a table with one key a slot. A key that another has pushed out counts as new, so
+    nothing is held back wrongly, a key that repeats often is sent about once, and memory is bounded."""
+
+    def __init__(self) -> None:
+        self.held, self.full, self.names = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, bool), {}
+
+    def _numbers(self, columns: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+        """A number for each row of one column of whole numbers, or of one of text and one of whole numbers; and for which
+        rows it is exact."""
+        key = columns[-1].to_numpy().astype(np.int64)
+        if len(columns) == 1:
+            return key, np.ones(len(key), bool)
+        encoded = columns[0].dictionary_encode()
+        code = np.array([self.names.setdefault(n, len(self.names)) for n in encoded.dictionary.to_pylist()], np.int64)
+        code = code[np.asarray(encoded.indices)] if len(code) else np.empty(0, np.int64)
+        if len(self.names) > NAMES:  # numbers given so far end here; what was sent may be sent again
+            self.names, self.full = {}, np.zeros(SLOTS, bool)
+            return key, np.zeros(len(key), bool)
+        return (code << 44) | (key & ((1 << 44) - 1)), (key >= 0) & (key < 1 << 44)
+
+    def new(self, columns: list[pa.Array]) -> np.ndarray:
+        """The rows that are not known to have been sent, in order."""
+        key, exact = self._numbers(columns)
+        first = np.zeros(len(key), bool)
+        first[np.unique(key, return_index=True)[1]] = True
+        slot = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+        fresh = ~exact | (first & ~(self.full[slot] & (self.held[slot] == key)))
+        put = slot[exact & first]
+        self.held[put], self.full[put] = key[exact & first], True
+        return np.flatnonzero(fresh)
+
+
+class Bloom:
+    """A filter of the keys of a table: it lets every one of them pass, and of the others few as long as the keys are not many
+    more than ``MOST_BITS`` / 10. Its size is bounded, whatever the table. Built with native aggregates."""
+
+    def __init__(self, keys: DataFrame, columns: list[str]) -> None:
+        self.bits = min(MOST_BITS, max(1 << 16, 1 << (10 * keys.count()).bit_length()))
+        h = F.xxhash64(*columns)
+        places = F.array(h.bitwiseAND(F.lit(self.bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(self.bits - 1)))
+        one = keys.select(F.explode(places).alias("p")).select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bit"))
+        words = one.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        self.word = np.zeros(self.bits // 64, np.uint64)
+        self.word[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+
+    def passes(self, h: np.ndarray) -> np.ndarray:
+        """For hashes (by ``xxhash64`` of the same columns in the same types) whether the key may be among the keys."""
+        h = h.view(np.uint64)
+        out = np.ones(len(h), bool)
+        for p in (h & np.uint64(self.bits - 1), (h >> np.uint64(32)) & np.uint64(self.bits - 1)):
+            out &= (self.word[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+        return out
+
+
+def pack(df: DataFrame, keys: list[str], vector_col: str = "embedding", dim: int = DIM, among: Bloom | None = None) -> DataFrame:
+    """``keys`` (whole numbers, or text and whole numbers) and ``vec`` (the numbers as bytes) of the rows with a usable vector
+    and no null among ``keys``.
+
+    ``among``: only rows that pass this filter; what passes by chance must be dropped by what follows. Most repeated rows are
+    dropped before any shuffle; the rest must be dropped by what follows.
     """
     narrow = df.select(*keys, F.col(vector_col).cast("array<float>").alias("vec")).dropna(subset=keys)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
+    if among is not None:
+        narrow = narrow.withColumn("hash", F.xxhash64(*keys))
+    shared = None if among is None else df.sparkSession.sparkContext.broadcast(among)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
+        sent = Sent()
         for batch in batches:
+            if shared is not None:
+                batch = batch.filter(pa.array(shared.value.passes(batch.column(len(keys) + 1).to_numpy())))
             at, rows = usable(batch.column(len(keys)), dim)
-            new = []
-            for i, key in enumerate(zip(*(batch.column(k).take(pa.array(at)).to_pylist() for k in range(len(keys))), strict=True)):
-                if key not in seen:
-                    seen.add(key)
-                    new.append(i)
-            if len(seen) > SEEN:
-                seen.clear()
-            at = pa.array(at[new])
-            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(len(keys))), to_binary(rows[new])], [*keys, "vec"])
+            columns = [batch.column(k).take(pa.array(at)) if len(at) < batch.num_rows else batch.column(k) for k in range(len(keys))]
+            new = sent.new(columns)
+            if len(new) < len(at):
+                columns, rows = [c.take(pa.array(new)) for c in columns], rows[new]
+            yield pa.RecordBatch.from_arrays([*columns, to_binary(rows)], [*keys, "vec"])
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
     return narrow.mapInArrow(run, f"{kinds}, vec binary")
 
 
