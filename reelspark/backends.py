@@ -12,6 +12,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Hardware decoders by codec.
@@ -56,6 +57,8 @@ def run(df: DataFrame, names: list[str], schema: str, keep: list[str], registry:
     """``keep`` columns, ``schema`` columns, and ``backend, status, error``: each row through the first backend that does it.
 
     A row for which all fail gives one row with status ``failed`` and the last error; partial results of a failure are dropped.
+    Rows come one by one, as a backend takes a video or an image at a time; those that take many at once are for
+    :func:`run_batches`.
     """
     factories = [(n, (REGISTRY if registry is None else registry)[n]) for n in names]
     if not factories:
@@ -83,6 +86,42 @@ def run(df: DataFrame, names: list[str], schema: str, keep: list[str], registry:
     return df.mapInPandas(work, f"{kinds}, {schema}, backend string, status string, error string")
 
 
+def run_batches(df: DataFrame, encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], column: str, dim: int, out: str = "embedding", size: int = 128, half: bool = True) -> DataFrame:
+    """``df`` without ``column`` and with ``out``: rows of numbers (``column``, all of one length) through a model, ``size`` at a
+    time, and scaled to length one. The model is made once in a task. ``half``: rounded to half precision, as stored vectors are.
+
+    Null rows have no vector.
+    """
+    kept = [f for f in df.schema.fields if f.name != column]
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), f"{out} array<float>"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = encoder()
+        for batch in batches:
+            values = batch.column(batch.schema.get_field_index(column))
+            there = np.flatnonzero(np.asarray(values.is_valid()))
+            rows = values.take(pa.array(there)).flatten().to_numpy(zero_copy_only=False).reshape(len(there), -1) if len(there) else np.empty((0, 1))
+            made = [np.asarray(model(rows[a : a + size]), np.float32) for a in range(0, len(rows), size)]
+            x = np.concatenate(made) if made else np.empty((0, dim), np.float32)
+            x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
+            x = x.astype(np.float16).astype(np.float32) if half else x
+            valid = np.zeros(len(values), bool)
+            valid[there] = True
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(valid, dim, 0))]).astype(np.int32), mask=np.append(~valid, False))
+            vectors = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(x).ravel()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(f.name)) for f in kept), vectors], [*(f.name for f in kept), out])
+
+    return df.mapInArrow(work, schema)
+
+
+def succeeded(done: DataFrame, some: bool = False) -> DataFrame:
+    """The rows of :func:`run` that a backend did, without ``status`` and ``error``; ``some``: an error if there is none."""
+    good = done.where("status = 'ok'").drop("status", "error")
+    if some and good.isEmpty():
+        raise RuntimeError("no backend did any row")
+    return good
+
+
 def _split(schema: str) -> list[str]:
     """Fields of a schema string; commas inside brackets do not separate."""
     out, depth, start = [], 0, 0
