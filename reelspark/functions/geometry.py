@@ -66,7 +66,7 @@ def box_size(box: Column, bind: Callable = let) -> tuple[Column, Column]:
 
 
 def large_enough(box: Column, least: float = 3.0, bind: Callable = let) -> Column:
-    """Whether neither side is below ``least``."""
+    """:func:`large` of a box."""
     return bind(clockwise(box), lambda c: F.least(F.greatest(_edge(c, 0, 1), _edge(c, 3, 2)), F.greatest(_edge(c, 0, 3), _edge(c, 1, 2))) >= least)
 
 
@@ -78,10 +78,20 @@ def rounded_key(box: Column) -> Column:
 
 def crop_size(box: Column, bind: Callable = let) -> tuple[Column, Column, Column]:
     """Width and height of the rectified crop in pixels, and whether it is turned by 90 degrees."""
-    width, height = (F.greatest(F.lit(1), s.cast("int")) for s in box_size(box, bind))
+    return crop_of(*box_size(box, bind))
+
+
+def crop_of(box_width: Column, box_height: Column) -> tuple[Column, Column, Column]:
+    """:func:`crop_size` from the measures of a box."""
+    width, height = (F.greatest(F.lit(1), s.cast("int")) for s in (box_width, box_height))
     return width, height, height / width >= 1.5
 
 
+def large(width: Column, height: Column, least: float = 3.0) -> Column:
+    """Whether neither side is below ``least``."""
+    return F.least(width, height) >= least
+
+
 def measure(df: DataFrame, box: str, width: Column, height: Column) -> DataFrame:
     """``df`` with the box moved into the image, and its ``corners``, ``box_width``, ``box_height`` and ``box_key``.
 

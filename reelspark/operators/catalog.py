@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
+from reelspark.runtime import cut
+
+#: Positions of an entity that are numbered in one task.
+CHUNK = 65_536
+
 
 def numbered(df: DataFrame, order: list[Column | str], name: str = "position") -> DataFrame:
     """``df`` with the place of each row in a total order, from 0, without gathering the rows in one task.
 
-    The rows are range-partitioned and sorted, and each partition is counted; only the counts reach the driver.
+    The rows are range-partitioned, sorted and written with the place in their partition; the sizes of the partitions, one row
+    for each, are summed up and joined back.
+    """
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = cut(df.orderBy(*order).select("*", F.spark_partition_id().alias("_part"), inside.alias("_inside")), "numbered")
+    before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = ordered.groupBy("_part").agg(F.count("*").alias("n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return ordered.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_inside")).select(*df.columns, name)
+
+
+def ranked(df: DataFrame, entity: str, order: list[str], bucket: Column, name: str = "position") -> DataFrame:
+    """``df`` with the place of each row among those of its entity in ``order`` (a total order), from 0.
+
+    ``bucket`` must not decrease in that order. Rows are numbered within their bucket, and the sizes of the buckets before are
+    added, so an entity that holds a large part of the table is spread over many tasks.
     """
-    ordered = df.orderBy(*order)
-    schema = StructType([*ordered.schema.fields, StructField(name, LongType())])
-    return df.sparkSession.createDataFrame(ordered.rdd.zipWithIndex().map(lambda pair: (*pair[0], pair[1])), schema)
+    rows = df.withColumn("_bucket", bucket)
+    before = F.sum("_n").over(Window.partitionBy(entity).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = rows.groupBy(entity, "_bucket").agg(F.count("*").alias("_n")).select(entity, "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(entity, "_bucket").orderBy(*order)) - 1
+    return rows.withColumn("_inside", inside).join(offsets, [entity, "_bucket"]).withColumn(name, (F.col("_before") + F.col("_inside")).cast("bigint")).select(*df.columns, name)
 
 
 def shard(df: DataFrame, order: list[Column | str], shards: int, index: int, limit: int | None = None) -> DataFrame:
@@ -78,6 +98,13 @@ def ratio(selected: DataFrame, total: DataFrame, key: str) -> DataFrame:
     return t.join(s, key, "left").select(key, F.coalesce("n_selected", F.lit(0)).cast("bigint").alias("n_selected"), "n_total").withColumn("percent", percent)
 
 
+def counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and counts of its rows that are taken while it is used, without a pass of their own: ``n_rows``, and how many meet
+    each condition. ``Observation.get`` has them once an action has read all of ``df``."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *(F.count_if(c).alias(k) for k, c in counts.items())), seen
+
+
 def union_names(*columns: DataFrame) -> DataFrame:
     """Different names of several one-column tables, in order."""
     first, *rest = columns

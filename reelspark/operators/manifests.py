@@ -23,15 +23,28 @@ def normal_image(value: Column) -> Column:
     return F.regexp_replace(name, rf"(?i)\.({'|'.join(paths.IMAGE_SUFFIXES)})$", "")
 
 
-def items(manifest: DataFrame, ignore_flag: bool = False, order: str | None = None) -> DataFrame:
+def group_of(path: Column, root: str | None) -> Column:
+    """The folder of an image as seen from ``root``; the folder's own name for a path that is not below it. Relative paths are
+    taken to be below it."""
+    folder = F.regexp_replace(path, "/?[^/]*$", "")
+    own = F.element_at(F.split(folder, "/"), -1)
+    if root is None:
+        return normal_group(F.when(path.startswith("/"), own).otherwise(folder))
+    base = f"{root.rstrip('/')}/"
+    below = F.when(path.startswith(base), F.substring(folder, len(base) + 1, 1 << 30))
+    return normal_group(F.coalesce(below, F.when(~path.startswith("/"), folder), own))
+
+
+def items(manifest: DataFrame, ignore_flag: bool = False, order: str | None = None, root: str | None = None) -> DataFrame:
     """``group_id, image_id, path, map_id, seq`` from a manifest with any of the known column names.
 
     Rows whose flag says no are dropped unless ``ignore_flag``; so are rows without path or without an id that can be told. A
-    missing group is the folder of the path, a missing image its stem. ``order``: a column with the manifest's order.
+    missing image is the stem of the path; a missing group its folder as seen from ``root``, or the folder's own name where the
+    path is not below ``root``. ``order``: a column with the manifest's order.
     """
     there = manifest.columns
     path = values.first_present(values.aliased(there, "path"))
-    folder = F.regexp_replace(path, "/?[^/]*$", "")
+    folder = group_of(path, root)
     group = F.coalesce(F.nullif(normal_group(values.first_present(values.aliased(there, "group"))), F.lit("")), folder)
     image = F.coalesce(F.nullif(normal_image(values.first_present(values.aliased(there, "image"))), F.lit("")), paths.stem(path))
     flags = values.aliased(there, "selected")
@@ -47,6 +60,51 @@ def discover(found: DataFrame, limit: int | None = None) -> DataFrame:
     return first if limit is None else first.limit(limit)
 
 
+def from_tree(images: DataFrame) -> DataFrame:
+    """Items of every image of a tree: ``images`` has ``rel_path``, seen from the root."""
+    path = F.col("rel_path")
+    suffix = F.lower(F.regexp_extract(path, r"[^/]\.([^./]+)$", 1))
+    return images.where(suffix.isin(*paths.IMAGE_SUFFIXES)).select(normal_group(F.regexp_replace(path, "/?[^/]*$", "")).alias("group_id"), paths.stem(path).alias("image_id"), path.alias("path"), F.lit("").alias("map_id"), F.lit("").alias("subfolder"), F.lit("recursive").alias("source"), path.alias("seq"))
+
+
+def from_maps(images: DataFrame, maps: DataFrame, allow_missing_map: bool = False) -> DataFrame:
+    """Items of the layout in which each video has a folder of images and a map that names the frames in it.
+
+    ``images``: ``subfolder, video_id, path``; ``maps``: ``subfolder, video_id, map_id`` and ``row``, the order in the map. A map row
+    without an image is an error when it is read; so is a video without a map, unless ``allow_missing_map``, when all its images
+    are items.
+    """
+    keys = ["subfolder", "video_id"]
+    key = lambda df: df.withColumn("video_id", F.to_json(F.struct(*keys)))
+    named = frame_images(key(maps).select("video_id", "map_id"), key(images).select("video_id", "path"))
+    rows = key(maps.where(F.trim("map_id") != "")).groupBy("video_id", "map_id").agg(F.min("row").alias("row"), F.first("subfolder").alias("subfolder"))
+    video = F.get_json_object("video_id", "$.video_id")
+    item = lambda source, seq: [normal_group(video).alias("group_id"), paths.stem(F.col("path")).alias("image_id"), "path", F.col("map_id"), "subfolder", F.lit(source).alias("source"), seq.alias("seq")]
+    found = named.join(rows, ["video_id", "map_id"]).select(*item("kf_embedding", F.to_json(F.struct("subfolder", "video_id", F.format_string("%012d", "row").alias("row")))))
+    # the mark comes from the join, so that the check below is not made before it
+    mapped = images.where(paths.suffix(F.col("path")).isin(*paths.IMAGE_SUFFIXES)).join(maps.select(*keys).distinct().withColumn("_mapped", F.lit(True)), keys, "left")
+    if not allow_missing_map:
+        mapped = catalog.require(mapped, F.col("_mapped"), "a video has no map")
+    bare = key(mapped.where("_mapped is null")).withColumn("map_id", F.lit(""))
+    return found.unionByName(bare.select(*item("directory", F.to_json(F.struct("subfolder", "video_id", "path")))))
+
+
+def layout_of(layout: str, default_root: bool, maps_there: bool) -> str:
+    """``recursive`` or ``kf-embedding`` for a layout that may be ``auto``; another is an error."""
+    if layout == "auto":
+        layout = "kf-embedding" if maps_there and not default_root else "recursive"
+    if layout not in ("recursive", "kf-embedding"):
+        raise ValueError(f"no such layout: {layout}")
+    return layout
+
+
+def some(found: DataFrame) -> DataFrame:
+    """``found``; an error if it is empty."""
+    if found.isEmpty():
+        raise FileNotFoundError("there are no selected keyframe images")
+    return found
+
+
 def candidates(rows: DataFrame, bases: list[str], path: str = "path") -> DataFrame:
     """``rows`` with each place where a path may be, and its ``priority``: as it is if absolute, else below each base; without
     a suffix with each image suffix in turn."""
@@ -74,13 +132,14 @@ def frame_images(map_rows: DataFrame, listing: DataFrame, strict: bool = True) -
 
 
 def keyframe_manifest(found: DataFrame, prepared: DataFrame) -> DataFrame:
-    """Items with their prepared paths, empty where there is none, in the manifest's columns."""
+    """Items with their prepared paths, empty where there is none, in the manifest's columns and in order of group and image, the order
+    of :func:`discover`."""
     keys = ["group_id", "image_id"]
     joined = found.join(prepared.select(*keys, F.col("path").alias("_prepared")), keys, "left")
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     held = {c: blank(c) for c in found.columns}
     fields = {"video_id": blank("group_id"), "frame_id": blank("image_id"), "original_path": blank("path"), "preprocessed_path": blank("_prepared")}
-    return joined.select(*((fields.get(c) if c in fields else held.get(c, F.lit(""))).alias(c) for c in COLUMNS))
+    return joined.select(*((fields.get(c) if c in fields else held.get(c, F.lit(""))).alias(c) for c in COLUMNS)).orderBy("group_id", "image_id")
 
 
 def strict_join(left: DataFrame, right: DataFrame, keys: list[str], message: str) -> DataFrame:

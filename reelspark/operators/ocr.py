@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from reelspark.functions import geometry, values
-from reelspark.functions.paths import stem
 from reelspark.functions.vectors import let
+from reelspark.operators import catalog, manifests
 
 #: Keys of a detector result that may hold boxes and scores, first first.
 BOX_KEYS = ("dt_polys", "det_polys", "rec_polys", "polys", "dt_boxes", "det_boxes", "rec_boxes", "boxes")
 SCORE_KEYS = ("dt_scores", "det_scores", "scores", "confidence")
+#: Least confidence of a line, and pixels that two boxes of one line differ at most (or half the middle height).
 CONFIDENCE, LEAST_LINE = 0.7, 10.0
+#: Fields of a record in the file of its group, and of a row of the table of predictions, in order.
+GROUP_FIELDS = ("idx", "image_id", "frame_id", "map_id", "subfolder", "path", "preprocessed_path", "text", "text_joined", "latency_ms", "all_lines")
+ROW_FIELDS = ("group_id", "image_id", "video_id", "frame_id", "idx", "map_id", "subfolder", "path", "original_path", "preprocessed_path", "text", "line_count", "latency_ms")
+#: Records of a group in one row of its file.
+GROUP_CHUNK = 10_000
 POINT = StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])
 BOX = StructType([StructField("box", ArrayType(POINT)), StructField("det_confidence", DoubleType())])
 
@@ -99,9 +105,14 @@ def usable_boxes(boxes: Column, width: Column, height: Column, least: float = 3.
 
 
 def first_of_equal(items: Column, key: Callable[[Column], Column], value: Callable[[Column], Column]) -> Column:
-    """Values of the elements whose key stands at no earlier place."""
-    keys = F.transform(items, key)
-    return F.transform(let(keys, lambda k: F.filter(items, lambda x, i: F.array_position(k, key(x)) == i + 1)), value)
+    """Values of the elements whose key stands at no earlier place, in order.
+
+    Keys are sorted with their places, so it takes n log n steps for n elements.
+    """
+    placed = F.sort_array(F.transform(items, lambda x, i: F.struct(key(x).alias("key"), i.alias("i"))))
+    first = let(placed, lambda s: F.filter(s, lambda x, i: (i == 0) | ~x["key"].eqNullSafe(F.get(s, i - 1)["key"])))
+    order = F.sort_array(F.transform(first, lambda x: x["i"]))
+    return let(items, lambda all_: F.transform(order, lambda i: value(F.get(all_, i))))
 
 
 def in_reading_order(boxes: Column) -> Column:
@@ -184,12 +195,24 @@ def predictions(items: DataFrame, threshold: float | None = CONFIDENCE, dedupe:
     return with_lines.select("group_id", "image_id", F.col("group_id").alias("video_id"), F.col("image_id").alias("frame_id"), F.col("image_id").alias("idx"), "map_id", "subfolder", "path", "original_path", "preprocessed_path", "text_lines", F.array_join("text_lines", "\n").alias("text"), F.size("text_lines").alias("line_count"), "latency_ms", "all_lines")
 
 
-def grouped(records: DataFrame, group: str, image: str, fields: list[str]) -> DataFrame:
-    """One JSON array per group, records in order of normalised image id. A group's records stand in one row by the format."""
-    order = stem(F.trim(F.col(image)))
-    rows = records.select(group, F.struct(order.alias("_order"), *fields).alias("r"))
-    listed = F.array_sort(F.collect_list("r"))
-    return rows.groupBy(group).agg(F.to_json(F.transform(listed, lambda r: F.struct(*(r[f].alias(f) for f in fields)))).alias("records"))
+def group_records(records: DataFrame) -> DataFrame:
+    """``group_id`` and the 11 fields of each of its records in a group's file, from prediction records."""
+    field = {"idx": "image_id", "frame_id": "image_id", "path": "original_path", "text": "text_lines", "text_joined": "text"}
+    return records.select("group_id", *(F.col(field.get(name, name)).alias(name) for name in GROUP_FIELDS))
+
+
+def grouped(records: DataFrame, group: str, image: str, fields: list[str], chunk: int = GROUP_CHUNK) -> DataFrame:
+    """``group, chunk, records``: JSON arrays of the records of a group in order of normalised image id, ``chunk`` of them in each
+    row (the last may have fewer), numbered from 0. Equal image ids are in order of the whole record.
+
+    Records are numbered by image id across the tasks, so a group may hold any part of the table.
+    """
+    rows = records.select(group, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("r"), manifests.normal_image(F.col(image)).alias("_order"))
+    placed = catalog.numbered(rows, [group, "_order", "r"], "_at")
+    first = placed.groupBy(group).agg(F.min("_at").alias("_first"))
+    parted = placed.join(first, group).withColumn("chunk", F.floor((F.col("_at") - F.col("_first")) / chunk))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("_at", "r"))), lambda x: x["r"])
+    return parted.groupBy(group, "chunk").agg(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("records"))
 
 
 def first_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

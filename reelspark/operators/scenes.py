@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Content score at which a scene ends, and frames that a scene has at least.
 THRESHOLD, LEAST_LENGTH = 27.0, 15
 
 
@@ -20,17 +21,18 @@ def inclusive(start: Column, end: Column, frame_count: Column) -> tuple[Column,
     return a, F.when(frame_count > 0, F.least(b, frame_count - 1)).otherwise(b)
 
 
-def islands(scores: DataFrame, entity: str, order: list[str], score: str, threshold: float = THRESHOLD) -> DataFrame:
+def islands(scores: DataFrame, entity: str, frame: str = "frame_idx", score: str = "score", threshold: float = THRESHOLD) -> DataFrame:
     """``entity, scene_id, start_frame, end_frame``: a new scene begins at every score of ``threshold`` or more.
 
-    Frames are numbered in ``order`` from 0. Without a least length this is two window functions over one sort.
+    Frames bear consecutive numbers. The cuts alone are put in order; first and last frame of an entity are partial aggregates, so
+    the frames of a long video never meet in one task.
     """
-    w = Window.partitionBy(entity).orderBy(*order)
-    numbered = scores.select(entity, (F.row_number().over(w) - 1).cast("bigint").alias("frame_idx"), F.coalesce((F.col(score) >= threshold).cast("bigint"), F.lit(0)).alias("cut"))
-    scene = F.sum("cut").over(Window.partitionBy(entity).orderBy("frame_idx").rowsBetween(Window.unboundedPreceding, 0))
-    found = numbered.withColumn("scene", scene).groupBy(entity, "scene").agg(F.min("frame_idx").alias("start_frame"), F.max("frame_idx").alias("end_frame"))
-    scene_id = (F.row_number().over(Window.partitionBy(entity).orderBy("start_frame")) - 1).cast("bigint")
-    return found.select(entity, scene_id.alias("scene_id"), "start_frame", "end_frame")
+    number = F.col(frame).cast("bigint")
+    span = scores.groupBy(entity).agg(F.min(number).alias("first"), F.max(number).alias("last"))
+    starts = span.select(entity, F.col("first").alias("start_frame")).unionByName(scores.where(F.col(score) >= threshold).select(entity, number.alias("start_frame"))).distinct()
+    w = Window.partitionBy(entity).orderBy("start_frame")
+    scenes = starts.select(entity, (F.row_number().over(w) - 1).cast("bigint").alias("scene_id"), "start_frame", (F.lead("start_frame").over(w) - 1).alias("end_frame"))
+    return scenes.join(span, entity).select(entity, "scene_id", "start_frame", F.coalesce("end_frame", "last").alias("end_frame"))
 
 
 def detect(scores: DataFrame, entity: str, frame: str = "frame_idx", score: str = "score", threshold: float = THRESHOLD, least: int = LEAST_LENGTH) -> DataFrame:

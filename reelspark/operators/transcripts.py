@@ -9,6 +9,9 @@ from reelspark.functions import values
 
 #: Seconds of a bucket in the interval join.
 BUCKET = 64.0
+#: Seconds of a transcript in one row.
+CHUNK_SECONDS = 3600.0
+#: Characters, mean log probability and probability of silence at which a segment is kept.
 LEAST_CHARS, LEAST_LOGPROB, MOST_SILENCE = 3, -1.2, 0.65
 
 
@@ -43,7 +46,11 @@ def csv_rows(segments: DataFrame) -> DataFrame:
     return segments.withColumns({"start": values.three_decimals("start"), "end": values.three_decimals("end")})
 
 
-def transcripts(aligned: DataFrame, entity: str = "video_id") -> DataFrame:
-    """One row per video: its transcript as an array of records in order of start."""
+def transcripts(aligned: DataFrame, entity: str = "video_id", chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
+    """``entity, chunk, segments``: the transcript of each video as arrays of records in order of start, one row for each
+    ``chunk_seconds`` of start time, numbered by them; records without a start (null or not a number) stand in a row without one.
+
+    A long video has many rows, so none grows with it.
+    """
     record = F.struct("start", "end", "text", "imgs")
-    return aligned.groupBy(entity).agg(F.array_sort(F.collect_list(record)).alias("segments"))
+    return aligned.groupBy(entity, F.floor(F.when(~F.isnan("start"), F.col("start")) / chunk_seconds).alias("chunk")).agg(F.array_sort(F.collect_list(record)).alias("segments"))

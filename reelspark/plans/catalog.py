@@ -11,10 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from reelspark import backends
-from reelspark.functions import geometry, paths, values, vectors
+from reelspark.functions import geometry, packed, paths, values, vectors
 from reelspark.operators import catalog, keyframes, manifests, ocr, scenes, transcripts
 from reelspark.runtime import shared_dir, table
 from reelspark.streaming import incremental
@@ -92,14 +91,14 @@ def speech_rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query(f"""
-    select video_id, count(*)::bigint as n_segments, sum(n)::bigint as n_imgs from (
-        select s.video_id, s.seg_no, count(k.frame_idx) as n
+    select video_id, coalesce(floor("start" / 60)::bigint, -999) as chunk, count(*)::bigint as n_segments, sum(n)::bigint as n_imgs from (
+        select s.video_id, s.seg_no, s."start", count(k.frame_idx) as n
         from {_SEGMENTS} s left join {_MAP} k on s.video_id = k.video_id and not isnan(k.pts_time) and k.pts_time between s."start" and s."end"
-        group by s.video_id, s.seg_no, s."start", s."end", s.text) group by video_id""")
+        group by s.video_id, s.seg_no, s."start", s."end", s.text) group by all""")
 def transcript_records(spark: SparkSession, root: str) -> DataFrame:
-    found = transcripts.transcripts(transcripts.interval_join(_segments(spark, root), _map(spark, root)))
+    found = transcripts.transcripts(transcripts.interval_join(_segments(spark, root), _map(spark, root)), chunk_seconds=60.0)
     images = F.aggregate("segments", F.lit(0).cast("bigint"), lambda a, s: a + F.size(s["imgs"]))
-    return found.select("video_id", F.size("segments").cast("bigint").alias("n_segments"), images.alias("n_imgs"))
+    return found.select("video_id", F.coalesce("chunk", F.lit(-999)).alias("chunk"), F.size("segments").cast("bigint").alias("n_segments"), images.alias("n_imgs"))
 
 
 # --- text ---------------------------------------------------------------------------------------------------------------
@@ -131,15 +130,6 @@ def confidence_filter(spark: SparkSession, root: str) -> DataFrame:
     return grouped.select("l_orderkey", F.size("lines").cast("bigint").alias("n_lines"), F.size(ocr.accepted_lines(F.col("lines"), dedupe=False)).cast("bigint").alias("n_sure"))
 
 
-@query("""
-    select video_id, count(*)::bigint as n_records, md5(string_agg(doc_id::varchar || ':' || coalesce(text, ''), chr(10) order by doc_id)) as records_md5
-    from documents where video_id is not null group by video_id""")
-def group_records(spark: SparkSession, root: str) -> DataFrame:
-    rows = table(spark, root, "documents").where("video_id is not null").groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("r"))
-    joined = F.array_join(F.transform("r", lambda x: F.concat(x["doc_id"].cast("string"), F.lit(":"), F.coalesce(x["text"], F.lit("")))), "\n")
-    return rows.select("video_id", F.size("r").cast("bigint").alias("n_records"), F.md5(joined).alias("records_md5"))
-
-
 @query(f"""
     select doc_id, case when {_STRIP.format("lang")} <> '' then {_STRIP.format("lang")} when {_STRIP.format("source")} <> '' then {_STRIP.format("source")} else '' end as value
     from documents""")
@@ -208,10 +198,14 @@ def per_group_limit(spark: SparkSession, root: str) -> DataFrame:
     return catalog.limit_per_group(rows, "collection", ["rel_path", "video_id"], 5)
 
 
-@query(f"select video_id, rel_path from {_VIDEOS} where video_id not in (select video_id from keyframe_map where video_id is not null)")
+@query("""
+    select distinct k.video_id, k.frame_idx from keyframe_indices k where not exists (
+        select 1 from frame_embeddings f where f.video_id = k.video_id and f.frame_idx = k.frame_idx and coalesce(len(f.embedding), 0) > 0)""")
 def pending_work(spark: SparkSession, root: str) -> DataFrame:
-    inputs = table(spark, root, "file_list").select("video_id", "rel_path").distinct()
-    return catalog.pending(inputs, table(spark, root, "keyframe_map"), ["video_id"])
+    """Keyframes whose vector is still to be made; an empty one counts as none."""
+    frame = F.col("frame_idx").cast("bigint").alias("frame_idx")
+    done = table(spark, root, "frame_embeddings").select("video_id", frame, F.coalesce(F.size("embedding"), F.lit(0)).alias("size"))
+    return catalog.pending(table(spark, root, "keyframe_indices").select("video_id", frame).distinct(), done, ["video_id", "frame_idx"], size="size")
 
 
 @query(f"""
@@ -230,9 +224,10 @@ def priority_lookup(spark: SparkSession, root: str) -> DataFrame:
     return catalog.first_existing(asked, there[0].unionByName(there[1]).unionByName(there[2]), ["video_id"])
 
 
-@query("select distinct video_id from scenes where video_id not in (select video_id from keyframe_map)")
+@query("select distinct video_id, frame_idx from keyframe_indices except select video_id, frame_idx::bigint from frame_embeddings")
 def missing_outputs(spark: SparkSession, root: str) -> DataFrame:
-    return catalog.missing(table(spark, root, "scenes"), table(spark, root, "keyframe_map"), ["video_id"])
+    long_frame = lambda t: table(spark, root, t).select("video_id", long("frame_idx").alias("frame_idx"))
+    return catalog.missing(long_frame("keyframe_indices"), long_frame("frame_embeddings"), ["video_id", "frame_idx"])
 
 
 @query("""
@@ -288,12 +283,12 @@ def frame_stems(spark: SparkSession, root: str) -> DataFrame:
 @query(f"""
     select k.video_id, (row_number() over (partition by k.video_id order by k.frame_idx) - 1)::int as id,
         printf('%06d', row_number() over (partition by k.video_id order by k.frame_idx) - 1) || '.webp' as name,
-        round(case when p.fps > 0 then k.frame_idx / p.fps end, 6) as pts_time, round(p.fps, 6) as fps, k.frame_idx
+        round(case when p.fps > 0 then k.frame_idx / p.fps end, 6) as pts_time, round(coalesce(p.fps, 0), 6) as fps, k.frame_idx
     from (select distinct video_id, frame_idx from keyframe_indices) k
-    join (select video_id, case when {_FPS.format("avg_frame_rate")} > 0 then {_FPS.format("avg_frame_rate")} else {_FPS.format("r_frame_rate")} end as fps from video_probe) p using (video_id)""")
+    left join (select video_id, case when {_FPS.format("avg_frame_rate")} > 0 then {_FPS.format("avg_frame_rate")} else {_FPS.format("r_frame_rate")} end as fps from video_probe where codec_name is not null) p using (video_id)""")
 def map_rows(spark: SparkSession, root: str) -> DataFrame:
     fps = values.video_fps(F.col("codec_name"), F.lit(None).cast("double"), F.col("avg_frame_rate"), F.col("r_frame_rate"))
-    rates = table(spark, root, "video_probe").select("video_id", fps.alias("fps"))
+    rates = table(spark, root, "video_probe").where("codec_name is not null").select("video_id", fps.alias("fps"))
     found = keyframes.time_map(table(spark, root, "keyframe_indices"), rates)
     return found.select("video_id", "id", "name", F.round("pts_time", 6).alias("pts_time"), F.round("fps", 6).alias("fps"), "frame_idx")
 
@@ -349,8 +344,7 @@ def scene_clamp(spark: SparkSession, root: str) -> DataFrame:
     g as (select user_id, s, min(f) as start_frame, max(f) as end_frame from c group by user_id, s)
     select user_id, (row_number() over (partition by user_id order by start_frame) - 1)::bigint as scene_id, start_frame, end_frame from g""")
 def scene_islands(spark: SparkSession, root: str) -> DataFrame:
-    """Events of a user as frames, their values as content scores."""
-    return scenes.islands(table(spark, root, "events"), "user_id", ["ts", "event_id"], "value", 100.0)
+    return scenes.islands(_scores(spark, root), "user_id", score="value", threshold=100.0)
 
 
 @query(f"""
@@ -379,28 +373,79 @@ def segment_blocks(spark: SparkSession, root: str) -> DataFrame:
         round(list_sum(list_transform(embedding, lambda x: abs(x::double))) / sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))), 4) as sum_abs
     from frame_embeddings where {_USABLE.format("embedding", 64)}""")
 def l2_norm(spark: SparkSession, root: str) -> DataFrame:
-    rows = table(spark, root, "frame_embeddings").where(vectors.usable(F.col("embedding"), 64))
-    size = F.aggregate(vectors.normalise(F.col("embedding")), F.lit(0.0), lambda a, x: a + F.abs(x))
-    return rows.select("vec_id", F.round(vectors.norm(F.col("embedding")), 4).alias("norm"), F.round(size, 4).alias("sum_abs")).distinct()
-
+    scaled = packed.normalised(table(spark, root, "frame_embeddings").select("vec_id", "embedding"), "embedding", 64)
+    size = F.aggregate("vec", F.lit(0.0), lambda a, x: a + F.abs(x))
+    return scaled.groupBy("vec_id").agg(F.max(F.round("norm", 4)).alias("norm"), F.max(F.round(size, 4)).alias("sum_abs"))
+
+
+# contiguous clustering of the points ``p`` (group g, place i from 1, vector v) as common table expressions: sums of distances over
+# leading rows and columns, one merge of neighbours a step, silhouettes, and the edges e of the best clustering of each group
+_CLUSTERING = """
+    n as (select g, max(i) as n from p group by g),
+    sums as (select a.g, a.i, b.i as j, sum(list_distance(a.v, b.v)) over (partition by a.g, a.i order by b.i) as s from p a join p b using (g)),
+    line as (select g, i, list_prepend(0.0::double, list(s order by j)) as r from sums group by g, i),
+    area as (select g, list_prepend(list_transform(range(0, any_value(len(q))), lambda x: 0.0::double), list(q order by i)) as a from (
+        select g, i, list_prepend(0.0::double, list(t order by j)) as q from (select g, i, j, sum(s) over (partition by g, j order by i) as t from sums) group by g, i) group by g),
+    steps as (select g, range(0, n + 1) as e from n union all select g, e[:x] || e[x + 2:] from (select g, e, list_position(near, list_min(near)) as x from (
+        select steps.g, e, list_transform(range(1, len(e) - 1), lambda x: round((a[e[x + 1] + 1][e[x + 2] + 1] - a[e[x] + 1][e[x + 2] + 1] - a[e[x + 1] + 1][e[x + 1] + 1] + a[e[x] + 1][e[x + 1] + 1])
+            / ((e[x + 1] - e[x]) * (e[x + 2] - e[x + 1])), 12)) as near from steps join area using (g) where len(e) > 3))),
+    tried as (select g, e, len(e) - 1 as k from steps join n using (g) where len(e) - 1 between 2 and least(floor(sqrt(n)) + 1, n - 1)),
+    parts as (select t.g, t.e, t.k, l.i, list_transform(range(1, k + 1), lambda c: r[e[c + 1] + 1] - r[e[c] + 1]) as total, list_sum(list_transform(range(1, k + 1), lambda c: case when e[c] < i and i <= e[c + 1] then c else 0 end))::int as own
+        from tried t join line l using (g)),
+    near as (select g, e, k, total[own] / greatest(e[own + 1] - e[own] - 1, 1) as a, e[own + 1] - e[own] as size,
+        list_min(list_transform(range(1, k + 1), lambda c: case when c <> own then total[c] / (e[c + 1] - e[c]) end)) as b from parts),
+    scored as (select g, e, k, avg(case when size > 1 and greatest(a, b) > 0 then (b - a) / greatest(a, b) else 0 end) as score from near group by g, e, k),
+    chosen as (select g, e, score from (select *, row_number() over (partition by g order by round(score, 12) desc, k desc) as place from scored) where place = 1),
+    labelled as (select p.g, p.i, p.v, c.score, list_sum(list_transform(e[2:], lambda x: case when x < p.i then 1 else 0 end))::bigint as label from p join chosen c using (g)),
+    means as (select g, label, d, avg(v[d]) as m from labelled, unnest(generate_series(1, len(v))) as t(d) group by g, label, d),
+    centres as (select g, label, list(m order by d) as c from means group by g, label),
+    keys as (select l.g, l.label, arg_min(l.i, (round(list_distance(l.v, c.c) ** 2, 12), l.i)) as i from labelled l join centres c using (g, label) group by l.g, l.label)"""
 
-@query("select distinct video_id, frame_idx from frame_embeddings where frame_idx % 48 = 0")
-def sampled_frames(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "frame_embeddings").where("frame_idx % 48 = 0").select("video_id", "frame_idx").distinct()
 
-
-@query()
+@query(f"""
+    with recursive f as (select distinct video_id, frame_idx::bigint as f, embedding::double[] as v from frame_embeddings where video_id is not null and {_USABLE.format("embedding", 64)}),
+    reach as (select video_id, min(f) as low, max(f) as high from f group by video_id),
+    s as (select video_id, start_frame, end_frame, greatest(start_frame, low) as a, least(end_frame, high) as b from (select distinct video_id, start_frame, end_frame from scenes where start_frame <= end_frame) join reach using (video_id)),
+    inside as (select s.video_id, s.start_frame, s.end_frame, f.f, f.v, case when b - greatest(a, 0) + 1 > 512 then (f.f - greatest(a, 0)) // 256 else -1 end as block from s join f on s.video_id = f.video_id and f.f between a and b),
+    g as (select *, dense_rank() over (order by video_id, start_frame, end_frame, block) as g, row_number() over (partition by video_id, start_frame, end_frame, block order by f) as i, count(*) over (partition by video_id, start_frame, end_frame, block) as n from inside),
+    p as (select g, i, v from g where block < 0 and n >= 5),
+    {_CLUSTERING},
+    plain as (select g, d, avg(v[d]) as m from g, unnest(generate_series(1, 64)) as t(d) where block >= 0 or n < 5 group by g, d),
+    one as (select g, list(m order by d) as c from plain group by g)
+    select distinct video_id, f as frame_idx from g join keys using (g, i)
+    union select video_id, f from (select g.video_id, g.f, row_number() over (partition by g.g order by round(list_distance(g.v, one.c) ** 2, 12), g.i) as place from g join one using (g)) where place = 1""")
 def keyframe_select(spark: SparkSession, root: str) -> DataFrame:
-    """Keyframes of every scene by contiguous clustering."""
+    """Keyframes of every scene by contiguous clustering; one of a short scene, one of each block of a long one."""
     ranges = table(spark, root, "scenes").select("video_id", "start_frame", "end_frame")
     return keyframes.select(ranges, table(spark, root, "frame_embeddings"))
 
 
-@query()
+@query(f"""
+    with recursive p as (select label as g, row_number() over (partition by label order by vec_id) as i, vec_id, embedding::double[] as v from embeddings), {_CLUSTERING}
+    select p.g as label, vec_id, l.label as cluster, round(l.score, 6) as score, k.i is not null as is_keyframe
+    from p join labelled l using (g, i) left join keys k on k.g = p.g and k.i = p.i""")
+def cluster_labels(spark: SparkSession, root: str) -> DataFrame:
+    """Labels as scenes: the cluster of each vector, the silhouette of the clustering, and the keyframes."""
+    found = keyframes.clusters(table(spark, root, "embeddings").withColumnRenamed("label", "scene"), "scene", "vec_id")
+    return found.select(F.col("scene").alias("label"), "vec_id", F.col("label").alias("cluster"), F.round("score", 6).alias("score"), "is_keyframe")
+
+
+def _scores(spark: SparkSession, root: str) -> DataFrame:
+    """Events of a user as frames in order of time, their values as content scores."""
+    rows = table(spark, root, "events").select("user_id", "ts", "event_id", "value")
+    return catalog.ranked(rows, "user_id", ["ts", "event_id"], F.unix_date(F.col("ts").cast("date")), "frame_idx")
+
+
+@query("""
+    with recursive o as (select user_id, (row_number() over (partition by user_id order by ts, event_id) - 1)::bigint as f, value from events),
+    last as (select user_id, max(f) as last from o group by user_id),
+    c as (select user_id, f from o where value >= 100),
+    s as (select user_id, 0::bigint as scene_id, 0::bigint as start_frame from last
+        union all select s.user_id, s.scene_id + 1, min(c.f) from s join c on c.user_id = s.user_id and c.f - s.start_frame >= 15 group by s.user_id, s.scene_id)
+    select user_id, scene_id, start_frame, coalesce(lead(start_frame) over (partition by user_id order by scene_id) - 1, last) as end_frame from s join last using (user_id)""")
 def scene_detect(spark: SparkSession, root: str) -> DataFrame:
     """Scenes of at least 15 frames, from event values as content scores."""
-    order = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
-    return scenes.detect(table(spark, root, "events").select("user_id", order.alias("frame_idx"), "value"), "user_id", score="value", threshold=100.0)
+    return scenes.detect(_scores(spark, root), "user_id", score="value", threshold=100.0)
 
 
 # --- boxes --------------------------------------------------------------------------------------------------------------
@@ -426,21 +471,25 @@ _CORNERS = f"""
     from (select *, unnest([1, 2, 3, 4]) as i, unnest([x1, x2, x3, x4]) as x, unnest([y1, y2, y3, y4]) as y from ({_BOX})) group by all"""
 
 
-@query(f"""
-    with c as (select *, [x1, x2, x3, x4] as xs, [y1, y2, y3, y4] as ys from ({_CORNERS})),
+_MEASURED = f"""
+    c as (select *, [x1, x2, x3, x4] as xs, [y1, y2, y3, y4] as ys from ({_CORNERS})),
     e as (select *, greatest(sqrt((xs[tl] - xs[tr]) * (xs[tl] - xs[tr]) + (ys[tl] - ys[tr]) * (ys[tl] - ys[tr])), sqrt((xs[bl] - xs[br]) * (xs[bl] - xs[br]) + (ys[bl] - ys[br]) * (ys[bl] - ys[br]))) as width,
-        greatest(sqrt((xs[tl] - xs[bl]) * (xs[tl] - xs[bl]) + (ys[tl] - ys[bl]) * (ys[tl] - ys[bl])), sqrt((xs[tr] - xs[br]) * (xs[tr] - xs[br]) + (ys[tr] - ys[br]) * (ys[tr] - ys[br]))) as height from c)
+        greatest(sqrt((xs[tl] - xs[bl]) * (xs[tl] - xs[bl]) + (ys[tl] - ys[bl]) * (ys[tl] - ys[bl])), sqrt((xs[tr] - xs[br]) * (xs[tr] - xs[br]) + (ys[tr] - ys[br]) * (ys[tr] - ys[br]))) as height,
+        array_to_string(list_transform([x1, y1, x2, y2, x3, y3, x4, y4], lambda v: round_even(v, 0)::bigint::varchar), ',') as key from c)"""
+
+
+@query(f"""
+    with {_MEASURED}
     select l_orderkey, l_linenumber, round(xs[tl], 3) as left_x, round(ys[tl], 3) as top_y, round(xs[br], 3) as right_x, round(ys[br], 3) as bottom_y,
         round(width, 6) as width, round(height, 6) as height, width >= 3 and height >= 3 as large,
-        array_to_string(list_transform([x1, y1, x2, y2, x3, y3, x4, y4], lambda v: round_even(v, 0)::bigint::varchar), ',') as key,
-        greatest(1, trunc(width))::bigint as crop_width, greatest(1, trunc(height))::bigint as crop_height, greatest(1, trunc(height)) / greatest(1, trunc(width)) >= 1.5 as turned
+        key, greatest(1, trunc(width))::bigint as crop_width, greatest(1, trunc(height))::bigint as crop_height, greatest(1, trunc(height)) / greatest(1, trunc(width)) >= 1.5 as turned
     from e""")
 def box_geometry(spark: SparkSession, root: str) -> DataFrame:
     m = geometry.measure(_boxes(spark, root), "box", F.lit(100), F.lit(60))
+    cw, ch, turned = geometry.crop_of(F.col("box_width"), F.col("box_height"))
     at = lambda i, c: F.round(F.get("corners", F.lit(i))[c], 3)
     width, height = F.col("box_width"), F.col("box_height")
-    cw, ch = (F.greatest(F.lit(1), x.cast("int")) for x in (width, height))
-    return m.select("l_orderkey", "l_linenumber", at(0, "x").alias("left_x"), at(0, "y").alias("top_y"), at(2, "x").alias("right_x"), at(2, "y").alias("bottom_y"), F.round(width, 6).alias("width"), F.round(height, 6).alias("height"), ((width >= 3) & (height >= 3)).alias("large"), F.col("box_key").alias("key"), long(cw).alias("crop_width"), long(ch).alias("crop_height"), (ch / cw >= 1.5).alias("turned")).distinct()
+    return m.select("l_orderkey", "l_linenumber", at(0, "x").alias("left_x"), at(0, "y").alias("top_y"), at(2, "x").alias("right_x"), at(2, "y").alias("bottom_y"), F.round(width, 6).alias("width"), F.round(height, 6).alias("height"), geometry.large(width, height, 3.0).alias("large"), F.col("box_key").alias("key"), long(cw).alias("crop_width"), long(ch).alias("crop_height"), turned.alias("turned")).distinct()
 
 
 @query("""
@@ -456,14 +505,21 @@ def _page_boxes(spark: SparkSession, root: str) -> DataFrame:
     return _boxes(spark, root).groupBy("l_orderkey").agg(listed.alias("boxes"))
 
 
-@query()
+@query(f"""
+    with {_MEASURED},
+    once as (select l_orderkey, key, arg_min({{'y': ys[tl], 'x': xs[tl], 'i': l_linenumber, 'h': height, 'key': key}}, l_linenumber) as m from e where width >= 3 and height >= 3 group by l_orderkey, key),
+    pages as (select l_orderkey, list_sort(list(m)) as ms, greatest(10.0::double, 0.5::double * list_sort(list(m.h))[count(*) // 2 + 1]) as near from once group by l_orderkey)
+    select l_orderkey, array_to_string(list_transform(list_reduce(list_transform(ms, lambda m: [m]), lambda done, new:
+        done[:len(done) - coalesce(nullif(list_position(list_transform(list_reverse(done), lambda d: abs(new[1].y - d.y) < near and new[1].x < d.x), false), 0) - 1, len(done))] || new
+        || done[len(done) - coalesce(nullif(list_position(list_transform(list_reverse(done), lambda d: abs(new[1].y - d.y) < near and new[1].x < d.x), false), 0) - 1, len(done)) + 1:]), lambda m: m.key), ';') as boxes
+    from pages""")
 def reading_order(spark: SparkSession, root: str) -> DataFrame:
     """Boxes of an order as those of a page, usable ones in reading order."""
     found = ocr.pages(_boxes(spark, root), "l_orderkey", "l_linenumber", "box", F.lit(100), F.lit(60))
     return found.select("l_orderkey", F.array_join(F.transform("boxes", lambda b: geometry.rounded_key(b)), ";").alias("boxes"))
 
 
-@query()
+@query("select l_orderkey, count(*)::bigint as n_boxes, 0.9::double as confidence from lineitem group by l_orderkey")
 def detector_json(spark: SparkSession, root: str) -> DataFrame:
     """Nested detector results made up from line items as JSON text, and the boxes in them."""
     raw = F.to_json(F.struct(F.struct(F.transform("boxes", lambda b: F.transform(b["box"], lambda p: F.array(p["x"], p["y"]))).alias("dt_polys"), F.lit(0.9).alias("scores")).alias("res")))
@@ -471,7 +527,7 @@ def detector_json(spark: SparkSession, root: str) -> DataFrame:
     return found.select("l_orderkey", F.size("b").cast("bigint").alias("n_boxes"), F.array_max(F.transform("b", lambda x: x["det_confidence"])).alias("confidence"))
 
 
-@query()
+@query(f"select distinct md5(replace(lower({_CLEAN.format('text')}), 'ß', 'ss')) as key from documents")
 def casefold_keys(spark: SparkSession, root: str) -> DataFrame:
     """Different keys of texts that are equal but for case."""
     return table(spark, root, "documents").select(F.md5(values.casefold(values.clean_text(F.col("text")))).alias("key")).distinct()

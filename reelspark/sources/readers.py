@@ -44,21 +44,33 @@ def images(spark: SparkSession, root: str) -> DataFrame:
 
 
 def subfolders(spark: SparkSession, root: str, lists: DataFrame | None = None, requested: list[str] | None = None) -> DataFrame:
-    """Collection names: those requested, else all top folders below ``root`` and the names of file lists (column ``name``)."""
+    """Collection names: those requested, else all folders right below ``root``, empty ones too, and the names of file lists
+    (column ``name``). One level is listed, on the driver; a missing root has no folders."""
     if requested:
         return spark.createDataFrame([(n,) for n in sorted(set(requested))], "name string")
-    every = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    bare = root.rstrip("/").split("://", 1)[-1]
-    rel = F.regexp_extract(F.regexp_replace("path", "^[a-z0-9]+:/*", "/"), rf"^.*?\Q{bare}\E/([^/]+)/.*$", 1)
-    names = every.select(rel.alias("name")).where("name <> ''")
+    system, where = _place(spark, root)
+    found = [s.getPath().getName() for s in system.listStatus(where) if s.isDirectory()] if system.exists(where) else []
+    names = spark.createDataFrame([(n,) for n in found], "name string")
     if lists is not None:
         names = names.unionByName(lists.select(F.regexp_replace("name", "^files_list_|[.]txt$", "").alias("name")))
     return names.distinct().orderBy("name")
 
 
+def _place(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path as it knows it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``."""
+    system, where = _place(spark, path)
+    return bool(system.exists(where))
+
+
 def list_entry(entry: Column, ending: str | None = None) -> Column:
     """An entry of a file list without byte-order mark, blanks and quotes; with another suffix if that differs but for case."""
-    text = F.regexp_replace(values.strip(F.regexp_replace(entry, "^﻿", "")), r"^[\"']+|[\"']+$", "")
+    text = F.regexp_replace(values.strip(F.regexp_replace(entry, "^\ufeff", "")), r"^[\"']+|[\"']+$", "")
     if ending is None:
         return text
     same = paths.suffix(text) == ending.lstrip(".").lower()
@@ -70,34 +82,54 @@ def file_list(spark: SparkSession, path: str, base: str | None = None, ending: s
 
     Without the list the videos below ``fallback`` are taken if that is given; else it is an error.
     """
-    try:
+    if fallback is None or exists(spark, path):
         rows = spark.read.text(path).select(F.col("value").alias("entry"))
-        rows.schema  # noqa: B018
-    except Exception:
-        if fallback is None:
-            raise
+    else:
         rows = tree(spark, fallback, paths.VIDEO_SUFFIXES, any_case=True).select(F.col("rel_path").alias("entry"))
     entry = list_entry(F.col("entry"), ending)
-    out = rows.where(~F.ltrim(F.regexp_replace("entry", "^﻿", "")).startswith("#")).select(entry.alias("path")).where("path <> ''")
+    out = rows.where(~F.ltrim(F.regexp_replace("entry", "^\ufeff", "")).startswith("#")).select(entry.alias("path")).where("path <> ''")
     return out if base is None else out.select(F.when(F.col("path").startswith("/"), F.col("path")).otherwise(F.concat(F.lit(f"{base.rstrip('/')}/"), "path")).alias("path"))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A manifest as text columns: CSV with header, JSON lines (rows that are objects), or JSON: a list, or an object with a
-    list under a known key. Another suffix is an error."""
+    """A manifest as text columns: CSV with header, JSON lines, or JSON: a list, or an object with a list under a known key.
+
+    Rows that are no objects are left out. Malformed JSON is an error when it is read, as is a JSON file of another shape; another
+    suffix is an error at once. Values that are lists or objects come as JSON text. An empty manifest has no columns.
+    """
     kind = path.rsplit(".", 1)[-1].lower()
     if kind == "csv":
         rows = spark.read.csv(path, header=True, multiLine=True, escape='"')
-        return rows.toDF(*(c.lstrip("﻿") for c in rows.columns))
+        return rows.toDF(*(c.lstrip("\ufeff") for c in rows.columns))
     if kind == "jsonl":
-        return spark.read.option("primitivesAsString", True).option("mode", "DROPMALFORMED").json(path)
+        return objects(spark.read.text(path).where(F.trim("value") != ""))
     if kind == "json":
-        rows = spark.read.option("primitivesAsString", True).json(path, multiLine=True)
-        there = [k for k in ROW_KEYS if k in rows.columns and rows.schema[k].dataType.typeName() == "array"]
-        return rows.select(F.inline(F.coalesce(*(F.col(k) for k in there[:1])))) if there else rows
+        return objects(listed_rows(spark.read.text(path, wholetext=True)))
     raise ValueError(f"no such kind of manifest: {kind}")
 
 
+def _shape(text: Column) -> Column:
+    """``OBJECT<...>``, ``ARRAY<...>`` or a plain type; malformed JSON is an error."""
+    return F.schema_of_variant(F.parse_json(text))
+
+
+def listed_rows(texts: DataFrame) -> DataFrame:
+    """``value``: the rows of whole JSON texts (column ``value``), each a list or an object with a list under a known key."""
+    inner = F.coalesce(*(F.when(_shape(F.get_json_object("value", f"$.{k}")).startswith("ARRAY"), F.get_json_object("value", f"$.{k}")) for k in ROW_KEYS))
+    shape = _shape(F.col("value"))
+    rows = F.when(shape.startswith("ARRAY"), F.col("value")).when(shape.startswith("OBJECT"), inner)
+    checked = F.coalesce(rows, F.raise_error(F.lit("a JSON manifest must be a list, or hold one under a known key")).cast("string"))
+    return texts.select(F.explode(F.from_json(checked, "array<string>")).alias("value"))
+
+
+def objects(texts: DataFrame) -> DataFrame:
+    """JSON texts (column ``value``) as a table: the objects among them, a text column for each key that any has."""
+    held = texts.where(_shape(F.col("value")).startswith("OBJECT")).select(F.from_json("value", "map<string,string>").alias("row"))
+    # the different keys of a manifest are its columns, which are few
+    names = [r.name for r in held.select(F.explode(F.map_keys("row")).alias("name")).distinct().orderBy("name").collect()]
+    return held.select(*(F.try_element_at("row", F.lit(n)).alias(n) for n in names))
+
+
 def keyframe_map(spark: SparkSession, path: str) -> DataFrame:
     """``id, pts_time, fps, frame_idx`` of a map file; an empty time is null. Rows are in order of time and frame."""
     rows = spark.read.schema("id int, pts_time double, fps double, frame_idx bigint").csv(path, header=True)
@@ -113,6 +145,14 @@ def map_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("map_id", F.trim(there[0])).where("map_id <> ''")
 
 
+def image_ids(spark: SparkSession, path: str) -> DataFrame:
+    """``row, id`` of a map file in its order; a file without a column ``id`` is an error, whatever other ids it has."""
+    rows = spark.read.csv(path, header=True)
+    if "id" not in rows.columns:
+        raise ValueError(f"no column id in {path}")
+    return rows.select(F.monotonically_increasing_id().alias("row"), "id")
+
+
 def whole_numbers(spark: SparkSession, path: str) -> DataFrame:
     """``value`` of each line of a text file of whole numbers, in order; nothing for an empty file."""
     return spark.read.text(path).select(F.nullif(F.trim("value"), F.lit("")).cast("bigint").alias("value")).where("value is not null").orderBy("value")

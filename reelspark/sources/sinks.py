@@ -51,16 +51,24 @@ def speech_json(aligned: DataFrame, path: str, mode: str = "errorifexists") -> N
     rows.select("video_id", "start", "end", "text", "imgs").write.mode(mode).partitionBy("video_id").json(path)
 
 
-def predictions(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Prediction records three ways: JSON lines with all fields, CSV with the plain ones, a JSON array per group."""
-    records.write.mode(mode).json(f"{path}/predictions")
-    plain = [c for c, kind in records.dtypes if not kind.startswith(("array", "struct", "map"))]
-    records.select(*plain).write.mode(mode).csv(f"{path}/ocr_predictions", header=True, escape='"')
-    fields = [c for c in records.columns if c not in ("group_id", "subfolder", "path", "preprocessed_path")]
-    groups = ocr.grouped(records, "group_id", "image_id", fields)
-    groups.select(paths.group_file(F.col("group_id")).alias("file"), F.col("records").alias("value")).write.mode(mode).partitionBy("file").text(f"{path}/groups")
+def predictions(records: DataFrame, path: str, by_group: bool = True, mode: str = "errorifexists") -> None:
+    """Prediction records three ways: JSON lines with all 15 fields, CSV with the 13 plain ones, and, if ``by_group``, a folder for
+    each group with its records of 11 fields as a JSON array in order of image ids (several arrays, one a line, for a group of more
+    than ``ocr.GROUP_CHUNK``)."""
+    records.write.mode(mode).json(f"{path}/predictions", ignoreNullFields=False)
+    records.select(*ocr.ROW_FIELDS).write.mode(mode).csv(f"{path}/ocr_predictions", header=True, escape='"', emptyValue="")
+    if by_group:
+        groups = ocr.grouped(ocr.group_records(records), "group_id", "image_id", list(ocr.GROUP_FIELDS))
+        named = groups.select(paths.group_file(F.col("group_id")).alias("file"), "chunk", F.col("records").alias("value"))
+        named.repartition("file").sortWithinPartitions("file", "chunk").select("file", "value").write.mode(mode).partitionBy("file").text(f"{path}/groups")
 
 
 def keyframe_manifest(found: DataFrame, prepared: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """The keyframe manifest as CSV."""
+    """The keyframe manifest as CSV, in order of group and image over its files."""
     manifests.keyframe_manifest(found, prepared).write.mode(mode).csv(path, header=True, escape='"', emptyValue="")
+
+
+def speech_maps(aligned: DataFrame, path: str, chunk_seconds: float = transcripts.CHUNK_SECONDS, mode: str = "errorifexists") -> None:
+    """Transcripts as JSON arrays by video, one a line for each ``chunk_seconds``, in order of time."""
+    rows = transcripts.transcripts(aligned, chunk_seconds=chunk_seconds).repartition("video_id").sortWithinPartitions("video_id", "chunk")
+    rows.select("video_id", F.to_json("segments", {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).partitionBy("video_id").text(path)

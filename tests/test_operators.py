@@ -23,7 +23,8 @@ def test_interval_join(spark):
     segments = spark.createDataFrame(rows, "video_id string, seg_no int, start double, end double").withColumn("text", F.lit("t"))
     got = {(r.video_id, r.seg_no): r.imgs for r in transcripts.interval_join(segments, points).collect()}
     assert got == {("v", 0): [25, 50], ("v", 1): [], ("v", 2): [0], ("v", 3): [], ("v", 4): [], ("x", 0): [], ("v", 5): [50, 75, 9000], ("v", 6): [], ("v", 7): [9000]}
-    assert {r.video_id: len(r.segments) for r in transcripts.transcripts(transcripts.interval_join(segments, points)).collect()} == {"v": 8, "x": 1}
+    rows = transcripts.transcripts(transcripts.interval_join(segments, points), chunk_seconds=10.0).collect()
+    assert {(r.video_id, r.chunk): len(r.segments) for r in rows} == {("v", None): 2, ("v", 0): 5, ("v", 7): 1, ("x", 0): 1}
 
 
 def test_scene_ranges(spark):
@@ -52,7 +53,7 @@ def test_detect(spark):
             got.setdefault(x.v, []).append((x.start_frame, x.end_frame))
         assert got == {v: plain_scenes(x, 27, max(least, 1)) for v, x in tables.items()}
     islands = {}
-    for x in scenes.islands(df, "v", ["frame_idx"], "score").orderBy("v", "scene_id").collect():
+    for x in scenes.islands(df, "v").orderBy("v", "scene_id").collect():
         islands.setdefault(x.v, []).append((x.start_frame, x.end_frame))
     assert islands == {v: plain_scenes(x, 27, 1) for v, x in tables.items()}
     videos = spark.createDataFrame([("a", 200), ("z", 40), ("y", 0), ("x", None)], "video_id string, frame_count long")
@@ -116,6 +117,30 @@ def test_time_map(spark):
     rates = spark.createDataFrame([("v", 25.0), ("w", 0.0)], "video_id string, fps double")
     got = sorted(tuple(x) for x in keyframes.time_map(k, rates).collect())
     assert got == [("v", 0, "000000.webp", 0.0, 25.0, 0), ("v", 1, "000001.webp", 2.0, 25.0, 50), ("w", 0, "000000.webp", None, 0.0, 3)]
+    unknown = keyframes.time_map(k, rates.where("video_id = 'v'")).where("video_id = 'w'").first()
+    assert (unknown.pts_time, unknown.fps, unknown.frame_idx) == (None, 0.0, 3)  # a video without a probe keeps its keyframes
+
+
+def test_places_of_a_long_video(spark):
+    r = np.random.default_rng(4)
+    rows = [("hot", int(i)) for i in r.choice(100_000, 3000, replace=False)] + [("cold", i) for i in (5, 3, 99)]
+    df = spark.createDataFrame(rows, "v string, i long").repartition(5)
+    got = catalog.ranked(df, "v", ["i"], F.floor(F.col("i") / 1000), "n").collect()
+    for v in ("hot", "cold"):
+        assert [x.i for x in sorted((x for x in got if x.v == v), key=lambda x: x.n)] == sorted(i for w, i in rows if w == v)
+        assert sorted(x.n for x in got if x.v == v) == list(range(sum(w == v for w, _ in rows)))
+    everything = catalog.numbered(df, ["v", "i"]).collect()
+    assert [(x.v, x.i) for x in sorted(everything, key=lambda x: x.position)] == sorted(rows) and catalog.numbered(df.limit(0), ["v"]).count() == 0
+
+
+def test_cluster_labels(spark):
+    x = [0.0, 0.1, 0.2, 10.0, 10.1, 10.2]
+    rows = [("s", i, [v, 0.0]) for i, v in enumerate(x)] + [("t", 0, [1.0, 0.0]), ("u", 0, [1.0, 1.0]), ("u", 3, [1.0, 1.0]), ("s", 9, None), ("s", 2, [0.2, 0.0])]
+    df = spark.createDataFrame(rows, "scene string, frame_idx int, embedding array<float>")
+    got = {(r.scene, r.frame_idx): (r.label, r.score and round(r.score, 5), r.is_keyframe) for r in keyframes.clusters(df.where("scene <> 's' or frame_idx > 0"), "scene", dim=2).collect()}
+    assert got[("t", 0)] == (0, None, True) and [got[("u", i)][0] for i in (0, 3)] == [0, 1]
+    assert [got[("s", i)][0] for i in range(1, 6)] == [0, 0, 1, 1, 1] and got[("s", 4)][2] and got[("s", 1)][1] > 0.97
+    assert keyframes.clusters(df.limit(0), "scene", dim=2).count() == 0
 
 
 def test_planning(spark):
@@ -200,6 +225,10 @@ def test_usable_boxes_and_detector(spark):
     assert len(record) == 15 and record.text == "t" and record.line_count == 1 and len(record.all_lines) == 2
     grouped = ocr.grouped(ocr.predictions(items), "group_id", "image_id", ["image_id", "text"]).first()
     assert json.loads(grouped.records) == [{"image_id": "image_id", "text": "t"}]
+    many = spark.createDataFrame([("g", f"{i:03}.png", i) for i in range(23)] + [("h", "1", 0), ("h", "1", 1)], "group_id string, image_id string, n int").repartition(4)
+    parts = ocr.grouped(many, "group_id", "image_id", ["image_id", "n"], chunk=10).orderBy("group_id", "chunk").collect()
+    assert [(p.group_id, p.chunk, len(json.loads(p.records))) for p in parts] == [("g", 0, 10), ("g", 1, 10), ("g", 2, 3), ("h", 0, 2)]
+    assert [x["n"] for p in parts[:3] for x in json.loads(p.records)] == list(range(23))
 
 
 def test_manifests(spark):
@@ -222,6 +251,19 @@ def test_manifests(spark):
         manifests.strict_join(found.select("group_id", "image_id"), prepared, ["group_id", "image_id"], "gone").collect()
 
 
+def test_items_below_a_root(spark):
+    rows = spark.createDataFrame([("/data/kf/a/b/1.webp",), ("/else/c/2.webp",), ("d/3.webp",)], "path string").coalesce(1)
+    assert [(r.group_id, r.image_id) for r in manifests.items(rows, root="/data/kf/").orderBy("seq").collect()] == [("a/b", "1"), ("c", "2"), ("d", "3")]
+    assert manifests.layout_of("auto", True, True) == manifests.layout_of("auto", False, False) == "recursive" and manifests.layout_of("auto", False, True) == "kf-embedding"
+    with pytest.raises(ValueError):
+        manifests.layout_of("flat", False, False)
+    maps = spark.createDataFrame([("k", "v", "7", 1)], "subfolder string, video_id string, map_id string, row int")
+    images = spark.createDataFrame([("k", "v", "k/v/000007.webp"), ("k", "w", "k/w/a.png")], "subfolder string, video_id string, path string")
+    with pytest.raises(Exception, match="no map"):
+        manifests.from_maps(images, maps).collect()
+    assert {(r.group_id, r.image_id, r.source) for r in manifests.from_maps(images, maps, True).collect()} == {("v", "000007", "kf_embedding"), ("w", "a", "directory")}
+
+
 def test_stream_takes_up_what_is_new(spark, tmp_path):
     source, out, state = (f"file://{tmp_path}/{n}" for n in ("in", "out", "state"))
     df = spark.createDataFrame([(i, i * 0.5) for i in range(50)], "i int, x double")

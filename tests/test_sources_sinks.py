@@ -5,6 +5,7 @@ import json
 import numpy as np
 import pytest
 
+from reelspark.operators import ocr
 from reelspark.sources import readers, sinks
 
 
@@ -25,6 +26,10 @@ def test_tree(spark, root):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.tree(spark, f"{root}/nowhere").collect()
     assert [r.name for r in readers.subfolders(spark, base).collect()] == ["K1", "K1-2", "K2"]
+    (root / "videos/empty").mkdir()
+    assert [r.name for r in readers.subfolders(spark, base).collect()] == ["K1", "K1-2", "K2", "empty"]
+    assert readers.subfolders(spark, f"{root}/nowhere").count() == 0
+    (root / "videos/empty").rmdir()
     lists = spark.createDataFrame([("files_list_K9.txt",)], "name string")
     assert [r.name for r in readers.subfolders(spark, base, lists).collect()] == ["K1", "K1-2", "K2", "K9"]
     assert [r.name for r in readers.subfolders(spark, base, requested=["b", "a", "b"]).collect()] == ["a", "b"]
@@ -52,6 +57,13 @@ def test_manifest(spark, tmp_path):
         assert sorted((r.path, r.keep) for r in readers.manifest(spark, f"{tmp_path}/{name}").collect()) == [("a.png", "1"), ("b.png", "0")], name
     with pytest.raises(ValueError):
         readers.manifest(spark, "m.xml")
+    (tmp_path / "bad.jsonl").write_text('{"path": "a"}\n{"path": \n')
+    (tmp_path / "shape.json").write_text('{"note": {"path": "a"}, "rows": 3}')
+    (tmp_path / "mixed.json").write_text('[{"path": "a", "box": [1, 2]}, [{"path": "b"}], 4, null]')
+    for name in ("bad.jsonl", "shape.json"):
+        with pytest.raises(Exception, match="(?i)malformed|manifest must be"):
+            readers.manifest(spark, f"{tmp_path}/{name}").collect()
+    assert [(r.path, r.box) for r in readers.manifest(spark, f"{tmp_path}/mixed.json").collect()] == [("a", "[1,2]")]
 
 
 def test_legacy_files(spark, tmp_path):
@@ -59,6 +71,9 @@ def test_legacy_files(spark, tmp_path):
     assert [tuple(r) for r in readers.keyframe_map(spark, f"{tmp_path}/map.csv").collect()] == [(1, None, 0.0, 7), (0, 1.5, 25.0, 30)]
     (tmp_path / "ids.csv").write_text("keyframe_id,x\n7,a\n ,b\n")
     assert [r.map_id for r in readers.map_rows(spark, f"{tmp_path}/ids.csv").collect()] == ["7"]
+    with pytest.raises(ValueError):
+        readers.image_ids(spark, f"{tmp_path}/ids.csv")
+    assert [r.id for r in readers.image_ids(spark, f"{tmp_path}/map.csv").orderBy("row").collect()] == ["0", "1"]
     (tmp_path / "n.txt").write_text("30\n4\n\n")
     assert [r.value for r in readers.whole_numbers(spark, f"{tmp_path}/n.txt").collect()] == [4, 30]
     (tmp_path / "s.txt").write_text("0 9\n10 14\n")
@@ -94,9 +109,18 @@ def test_sinks(spark, tmp_path):
     lists = spark.createDataFrame([("K1", "b.mp4"), ("K1", "a.mp4")], "collection string, rel_path string")
     sinks.file_lists(lists, out("l"))
     assert next((tmp_path / "l/collection=K1").glob("part-*")).read_text() == "a.mp4\nb.mp4\n"
-    records = spark.createDataFrame([("g/h", "2", "t", ["t"]), ("g/h", "1", "u", ["u"])], "group_id string, image_id string, text string, text_lines array<string>")
-    sinks.predictions(records, out("p"))
-    assert [x["image_id"] for x in json.loads(next((tmp_path / "p/groups/file=g__h").glob("part-*")).read_text())] == ["1", "2"]
+    line = "array<struct<text:string,confidence:double>>"
+    rows = [("g/h", "2", "7", "", "p2", "o2", "", 1.5, [("t", 0.9)]), ("g/h", "1", "8", "s", "p1", "o1", "q1", None, [("u", None), ("w", 0.1)])]
+    read = spark.createDataFrame(rows, f"group_id string, image_id string, map_id string, subfolder string, path string, original_path string, preprocessed_path string, latency_ms double, lines {line}")
+    sinks.predictions(ocr.predictions(read), out("p"))
+    first, second = json.loads(next((tmp_path / "p/groups/file=g__h").glob("part-*")).read_text())
+    assert first == {"idx": "1", "image_id": "1", "frame_id": "1", "map_id": "8", "subfolder": "s", "path": "o1", "preprocessed_path": "q1", "text": ["u"], "text_joined": "u", "latency_ms": None, "all_lines": [{"text": "u", "confidence": None}, {"text": "w", "confidence": 0.1}]}
+    assert list(first) == list(ocr.GROUP_FIELDS) and second["image_id"] == "2"
+    jsonl = [json.loads(x) for part in (tmp_path / "p/predictions").glob("part-*") for x in part.read_text().splitlines()]
+    assert len(jsonl) == 2 and all(len(x) == 15 for x in jsonl)
+    assert next(p for p in (tmp_path / "p/ocr_predictions").glob("part-*") if p.stat().st_size).read_text().splitlines()[0] == ",".join(ocr.ROW_FIELDS)
+    sinks.speech_maps(speech, out("t"))
+    assert json.loads(next((tmp_path / "t/video_id=v").glob("part-*")).read_text()) == [{"start": 1.0005, "end": 2.0625, "text": "hello, you", "imgs": [3, 4]}]
     found = spark.createDataFrame([("g", "1", "g/1.webp", "7")], "group_id string, image_id string, path string, map_id string")
     sinks.keyframe_manifest(found, found.limit(0), out("k"))
     written = [line for part in (tmp_path / "k").glob("part-*") for line in part.read_text().splitlines()]
