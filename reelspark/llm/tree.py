@@ -2,19 +2,20 @@
 
 The tree is fitted on the driver on a bounded sample and sent to the tasks; every row is then put into a leaf. Nodes are
 split until few sample rows are left, so dense regions get more leaves and the leaves hold about equally many rows,
-however skewed the vectors are.
+however skewed the vectors are. A table too large for ``MAX_LEAVES`` leaves gets trees below the leaves that hold too many
+rows, each fitted in a task on a bounded sample of its leaf, so that what a leaf holds does not grow with the table.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 
 #: Rows that a leaf should hold, and the bounds on leaves and on sample rows (vectors on the driver and in broadcasts).
 LEAF_ROWS = 512
 MAX_LEAVES = 16_384
 SAMPLE_PER_LEAF = 16
+#: Rows in a leaf from which it gets a tree of its own.
+DEEP_ROWS = 4096
 BRANCHES = 16
 ROUNDS = 6
 
@@ -24,6 +25,12 @@ def sample_size(rows: int, leaf_rows: int = LEAF_ROWS) -> int:
     return SAMPLE_PER_LEAF * min(MAX_LEAVES, max(16, -(-rows // leaf_rows)))
 
 
+def rows_of_lowest_leaf(rows: int, leaf_rows: int = LEAF_ROWS) -> float:
+    """Rows that a lowest leaf holds on average with as many levels of trees as ``rows`` needs, at most two."""
+    held = rows * SAMPLE_PER_LEAF / sample_size(rows, leaf_rows)
+    return held if held <= DEEP_ROWS else held * SAMPLE_PER_LEAF / sample_size(int(held), leaf_rows)
+
+
 def k_means(x: np.ndarray, k: int, random: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """Centres and the centre of each row; fewer than ``k`` centres if rows coincide."""
     centres = np.unique(x[random.choice(len(x), k, replace=False)], axis=0)
@@ -31,9 +38,8 @@ def k_means(x: np.ndarray, k: int, random: np.random.Generator) -> tuple[np.ndar
         near = (0.5 * (centres**2).sum(1) - x @ centres.T).argmin(1)
         used = np.bincount(near, minlength=len(centres))
         if r < ROUNDS:
-            total = np.zeros_like(centres)
-            np.add.at(total, near, x)
-            centres = total[used > 0] / used[used > 0, None]
+            member = (near == np.arange(len(centres))[:, None]).astype(x.dtype)
+            centres = ((member @ x)[used > 0] / used[used > 0, None]).astype(x.dtype)
     keep = np.flatnonzero(used)
     new = np.full(len(used), -1)
     new[keep] = np.arange(len(keep))
@@ -88,16 +94,47 @@ class Tree:
             todo += [(self.first[node] + c, rows[order[ends[c] : ends[c + 1]]]) for c in range(len(ends) - 1) if ends[c] < ends[c + 1]]
         return out
 
-    def visit(self, x: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves that best-bin-first reaches from the vector ``x``: a queue holds the nodes seen and
-        not yet opened, and the one whose centre is nearest is opened next."""
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
-            _, node = heapq.heappop(queue)
-            a, b = self.first[node], self.last[node]
-            if a == b:
-                out.append(int(self.leaf[node]))
-            else:
-                for pair in zip(self.cost(x, node).tolist(), range(a, b), strict=True):
-                    heapq.heappush(queue, pair)
-        return out
+    def leaf_centres(self) -> np.ndarray:
+        """The centre of each leaf."""
+        return self.centre[np.flatnonzero(self.leaf >= 0)]
+
+    def visit(self, x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each row of ``x`` the first ``most`` leaves that best-bin-first reaches, -1 where there are fewer, and what
+        their centres cost (see :meth:`cost`).
+
+        A queue for each row holds the nodes seen and not yet opened, and the one whose centre is nearest is opened next. The
+        queues of all rows are worked on at once, a step at a time; those that have their leaves stand still.
+        """
+        n, most = len(x), min(most, self.leaves)
+        costs = self.half.astype(np.float32) - x.astype(np.float32, copy=False) @ self.centre.T
+        out, paid, got = np.full((n, most), -1), np.full((n, most), np.inf, np.float32), np.zeros(n, np.int64)
+        node = np.zeros((n, 64), np.int64)
+        queue = np.full((n, 64), np.inf, np.float32)
+        queue[:, 0], used = 0, 1
+        rows = np.arange(n)
+        while len(rows):
+            at = queue[rows, :used].argmin(1)
+            now = node[rows, at]
+            price = queue[rows, at]
+            queue[rows, at] = np.inf
+            open_ = price < np.inf
+            rows, now, at = rows[open_], now[open_], at[open_]
+            size = self.last[now] - self.first[now]
+            done = size == 0
+            r = rows[done]
+            out[r, got[r]], paid[r, got[r]] = self.leaf[now[done]], costs[r, now[done]]
+            got[r] += 1
+            r, first, size, at = rows[~done], self.first[now[~done]], size[~done], at[~done]
+            if len(r):
+                wide = int(size.max())
+                if used + wide > queue.shape[1]:
+                    queue = np.concatenate([queue, np.full((n, queue.shape[1] + wide), np.inf, np.float32)], axis=1)
+                    node = np.concatenate([node, np.zeros((n, node.shape[1] + wide), np.int64)], axis=1)
+                child = first[:, None] + np.arange(wide)
+                there = np.arange(wide) < size[:, None]
+                child = np.where(there, child, 0)
+                node[r, used : used + wide] = child
+                queue[r, used : used + wide] = np.where(there, costs[r[:, None], child], np.inf)
+                used += wide
+            rows = rows[got[rows] < most]
+        return out, paid

@@ -1,4 +1,4 @@
-"""Vectors as packed bytes: which are usable, how they travel, and how tasks see whole groups of sorted rows."""
+"""Packed vectors for the operators here: repeated rows dropped, and only the keys that are asked for."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelspark.functions.packed import changes, codes, from_binary, grouped, to_binary, unit, usable, whole_groups  # noqa: F401
+
 DIM = 64
 #: Keys remembered by a task to drop repeated rows before the shuffle (a power of two), and texts that it numbers.
 SLOTS = 1 << 18
@@ -17,49 +19,6 @@ NAMES = 1 << 18
 MOST_BITS = 1 << 27
 
 
-def usable(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the usable vectors of a list column, and those vectors as float32 rows.
-
-    Usable: not null, exactly ``dim`` finite numbers, not all zero.
-    """
-    offsets = np.asarray(column.offsets)
-    values = column.values
-    flat = values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False)  # a null becomes NaN
-    if not len(flat):
-        return np.empty(0, np.int64), np.empty((0, dim), np.float32)
-    right = np.diff(offsets) == dim
-    if column.null_count == 0 and right.all():
-        at, rows = np.arange(len(column)), flat[offsets[0] : offsets[-1]].reshape(-1, dim)
-    else:
-        at = np.flatnonzero(right & np.asarray(column.is_valid()))
-        rows = flat[offsets[at][:, None] + np.arange(dim)]
-    # sums of squares of single-precision numbers neither overflow nor vanish in double precision
-    size = np.einsum("ij,ij->i", rows, rows, dtype=np.float64)
-    good = (size > 0) & (size < np.inf)
-    return (at, rows) if good.all() else (at[good], rows[good])
-
-
-def to_binary(rows: np.ndarray) -> pa.Array:
-    """Rows of numbers as one binary value each."""
-    rows = np.ascontiguousarray(rows)
-    width = rows.shape[1] * rows.itemsize
-    offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(width)
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
-
-
-def from_binary(column: pa.Array | pa.ChunkedArray, dim: int, kind: type = np.float32) -> np.ndarray:
-    """The rows of :func:`to_binary`; the column must have no nulls."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
-        if isinstance(column, pa.ChunkedArray):
-            column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.binary())
-    if not len(column):
-        return np.empty((0, dim), kind)
-    _, offsets, data = column.buffers()
-    first = np.frombuffer(offsets, np.int32)[column.offset]
-    return np.frombuffer(data, np.uint8)[first : first + len(column) * dim * np.dtype(kind).itemsize].view(kind).reshape(len(column), dim)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Whole numbers spread over all of 64 bits, different for different ones."""
     x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -72,18 +31,6 @@ def mixed_rows(raw: np.ndarray) -> np.ndarray:
     return (raw.view(np.uint32).astype(np.uint64) * (2 * np.arange(raw.shape[1], dtype=np.uint64) + 1)).sum(1) * np.uint64(0x9E3779B97F4A7C15)
 
 
-def unit(rows: np.ndarray, kind: type = np.float64) -> np.ndarray:
-    """Rows scaled to length one, safe for very small and very large numbers; lengths are worked out in double precision."""
-    if kind == np.float32 and rows.dtype == np.float32:
-        size = np.sqrt(np.einsum("ij,ij->i", rows, rows, dtype=np.float64))
-        if len(rows) and size.min() > 1e-30 and size.max() < 1e30:
-            return rows / size.astype(np.float32)[:, None]
-    rows = rows.astype(np.float64)
-    rows /= np.abs(rows).max(1, keepdims=True)
-    rows /= np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
-    return rows.astype(kind, copy=False)
-
-
 class Sent:
     """Which keys a task has sent already: a table with one key a slot. A key that another has pushed out counts as new, so
     nothing is held back wrongly, a key that repeats often is sent about once, and memory is bounded."""
@@ -165,51 +112,3 @@ def pack(df: DataFrame, keys: list[str], vector_col: str = "embedding", dim: int
             yield pa.RecordBatch.from_arrays([*columns, to_binary(rows)], [*keys, "vec"])
 
     return narrow.mapInArrow(run, f"{kinds}, vec binary")
-
-
-def changes(*columns: np.ndarray) -> np.ndarray:
-    """Where a row differs from the row before it in any of ``columns``; the first row does."""
-    out = np.ones(len(columns[0]), bool)
-    if len(out):
-        out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    return out
-
-
-def codes(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A number for each value of a column without nulls, equal for equal values."""
-    encoded = column.dictionary_encode()
-    if isinstance(encoded, pa.ChunkedArray):
-        encoded = encoded.unify_dictionaries().combine_chunks()
-        if isinstance(encoded, pa.ChunkedArray):
-            return np.concatenate([np.asarray(c.indices) for c in encoded.chunks]) if encoded.num_chunks else np.empty(0, np.int32)
-    return np.asarray(encoded.indices)
-
-
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches in which equal ``keys`` stand together; a group is never cut.
-
-    Memory holds a batch and one group.
-    """
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        new = changes(*(codes(batch.column(k)) for k in keys))
-        if held:
-            new[0] = any(batch.column(k)[0] != held[-1].column(k)[-1] for k in keys)
-        starts = np.flatnonzero(new)
-        if not len(starts):
-            held.append(batch)
-            continue
-        last = int(starts[-1])
-        done = [*held, batch.slice(0, last)]
-        if sum(b.num_rows for b in done):
-            yield pa.Table.from_batches(done)
-        held = [batch.slice(last)]
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def grouped(df: DataFrame, keys: list[str], then: list[str]) -> DataFrame:
-    """Rows of one group in one task, groups one after the other, each in the order of ``then``."""
-    return df.repartition(*keys).sortWithinPartitions(*keys, *then)

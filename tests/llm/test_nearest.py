@@ -1,9 +1,11 @@
 """Most similar vectors against brute force."""
 
+import heapq
+
 import numpy as np
 import pytest
 
-from reelspark.llm import nearest, vectors
+from reelspark.llm import nearest, tree, vectors
 from reelspark.llm.tree import Tree
 
 
@@ -34,7 +36,20 @@ def test_usable_and_round_trip():
 def test_tree_visits_every_leaf_once():
     x = vectors.unit(made(2000)).astype(np.float32)
     tree = Tree(x)
-    assert sorted(tree.visit(x[0], 10**6)) == list(range(tree.leaves)) and tree.leaves > 20
+    found, cost = tree.visit(x[:3], 10**6)
+    assert all(sorted(f) == list(range(tree.leaves)) for f in found.tolist()) and tree.leaves > 20
+    assert np.isfinite(cost).all()
+    plain = []
+    for v in x[:40]:  # one queue, one vector
+        queue, out = [(0.0, 0)], []
+        while len(out) < 7:
+            node = heapq.heappop(queue)[1]
+            if tree.first[node] == tree.last[node]:
+                out.append(int(tree.leaf[node]))
+            for child in range(tree.first[node], tree.last[node]):
+                heapq.heappush(queue, (float(tree.half[child] - v @ tree.centre[child]), child))
+        plain.append(out)
+    assert (tree.visit(x[:40], 7)[0] == plain).mean() > 0.99
     assert set(tree.assign(x)) <= set(range(tree.leaves))
 
 
@@ -65,3 +80,43 @@ def test_hot_copies(spark):
     for r in nearest.most_similar(df, asked, k=5).orderBy("id", "rank").collect():
         got.setdefault(r.id, []).append(r.other)
     assert got[0] == [1, 2, 3, 4, 5] and got[150] == [0, 1, 2, 3, 4] and len(got[300]) == 5 and 777 not in got
+
+
+def test_leaves_stay_small_at_any_size():
+    assert all(300 < tree.rows_of_lowest_leaf(10**k) < 700 for k in range(6, 11))
+
+
+def test_trees_below_leaves(spark, monkeypatch):
+    """The state of a table of thousands of millions of rows: few leaves on the driver, trees below them in tasks."""
+    monkeypatch.setattr(tree, "MAX_LEAVES", 6)
+    monkeypatch.setattr(tree, "DEEP_ROWS", 300)
+    monkeypatch.setattr(nearest, "VISITORS", 256)
+    x = made(4000, 7).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(4000)], "vec_id long, embedding array<float>").repartition(4)
+    packed = vectors.pack(df.withColumnRenamed("vec_id", "id"), ["id"])
+    search = nearest.Search(packed, packed.sample(0.05, 3).toArrow(), 10)
+    assert search.deep.any() and search.below.count() == search.deep.sum() and (search._salts(packed) > 1).any()
+    got = {}
+    for r in search.answers(packed.where("id % 7 = 0")).collect():
+        got.setdefault(r.id, []).append(r.other)
+    want = brute(x, np.arange(4000), 10)
+    assert set(got) == {i for i in range(4000) if i % 7 == 0}
+    assert sum(len(set(v) & set(want[i])) for i, v in got.items()) >= 0.9 * 10 * len(got)
+
+
+def test_filter_of_keys_lets_all_keys_pass(spark):
+    df = spark.range(20000).selectExpr("concat('v', id % 7) as video_id", "id as frame_idx", "xxhash64(concat('v', id % 7), id) as h")
+    bloom = vectors.Bloom(df.where("frame_idx % 10 = 0"), ["video_id", "frame_idx"])
+    rows = df.toPandas()
+    passed = bloom.passes(rows.h.to_numpy())
+    assert passed[rows.frame_idx % 10 == 0].all() and passed.mean() < 0.16
+
+
+def test_sent_keeps_the_first_of_each_key():
+    import pyarrow as pa
+
+    sent = vectors.Sent()
+    a = [pa.array(["x", "x", "y", "x"]), pa.array([1, 2, 1, 1])]
+    assert sent.new(a).tolist() == [0, 1, 2] and sent.new(a).tolist() == []
+    assert sent.new([pa.array(["y", "z"]), pa.array([2, -5])]).tolist() == [0, 1]
+    assert vectors.Sent().new([pa.array([5, -1, 5])]).tolist() == [0, 1]
