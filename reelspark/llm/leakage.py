@@ -1,13 +1,18 @@
 """Evaluation passages inside training documents, found with suffix arrays.
 
-The documents are read in shards. Of each shard the suffixes that begin with ``SEED`` words of some item are sorted into a
-suffix array (no other suffix can share so many words with an item), and every item suffix is binary-searched in it. That
-gives the longest verbatim matches and their places. An exact check follows: around each match that cannot be
-extended to the left, an alignment decides whether at least ``least_words`` consecutive item words stand there with at
-most one word in ten changed, missing or added. The first and the last word of such a passage must be in the document.
+The documents are read in shards. Of each shard the stretches of words that are covered by sequences of ``SEED`` words of
+some item are put into a suffix array (a match of ``SEED`` or more words lies within such a stretch), and every item suffix
+that can be there is binary-searched in it. That gives the verbatim matches, their places and, word by word as far as they go,
+their lengths. A match of ``least_words`` is a leak; around every shorter one that cannot be extended to the left an alignment
+decides whether at least ``least_words`` consecutive item words stand there with at most one word in ten changed, missing or
+added. The first and the last word of such a passage must be in the document.
 
 Words are folded: case, punctuation, spacing, digits and diacritics do not matter. ``SEED`` loses nothing: a passage of
 15 to 19 words may hold one edit, one of 20 or more words one for each ten, and in every case six words in a row are left.
+Nor does the alignment lose anything by looking at few words to either side and at three edits: if a passage can be cut
+before one of its matching words into two parts of ``least_words`` or more, one of them has no more edits for its length than
+the whole, so the shortest passage that proves a leak has at most (2 * 15 - 1) / 0.9, or 32 words. The work on a match
+therefore depends neither on the length of its item nor on that of any other.
 
 Defined results: null, empty and blank texts on either side match nothing; repeated documents or items each match for
 themselves; extra columns are dropped; empty tables give an empty result. An item shorter than ``least_words`` never
@@ -28,42 +33,74 @@ from pyspark.sql.pandas.types import to_arrow_type
 from reelspark.llm import words
 
 SEED = 6
-#: Words of items sent to the tasks at once (about 10 bytes each); a larger set takes more passes over the documents.
+#: Words of items sent to the tasks at once (about 40 bytes each); a larger set takes more passes over the documents.
 BLOCK_WORDS = 2_000_000
-#: Pairs aligned in one vectorised step.
-ALIGN_STEP = 512
-#: A first alignment allows few edits. A passage with more of them, e of 9e words or more, has e+1 runs; cut into stretches of
-#: three runs, one that holds a run of SEED words has 12 words or more, for all stretches of less could not hold 9e.
-FEW_EDITS, FEW_EDITS_WORDS = 2, 12
+#: Pairs of places looked at, and pairs aligned, in one vectorised step, and words compared at a time.
+PAIRS, ALIGN_STEP, STRIDE = 200_000, 4096, 16
 
 
 class Items:
-    """The folded words of the items and all their suffixes, as numbers that sort like the words."""
+    """The folded words of the items and all their suffixes, as numbers."""
 
     def __init__(self, ids: list, texts: list[str | None], least_words: int) -> None:
         w = words.split(texts, fold=True)
         self.ids, self.least = ids, least_words
+        #: Words to either side of a match that can belong to the shortest passage around it, and the edits in that.
+        longest = int((2 * least_words - 1) / 0.9)
+        self.around, self.edits = longest - SEED, max(1, longest // 10)
         self.vocabulary = np.unique(w.key)
         self.word = (np.searchsorted(self.vocabulary, w.key) + 1).astype(np.int32)
         self.first = w.first
-        self.item = np.repeat(np.arange(len(ids)), np.diff(w.first))
-        self.end = self.first[self.item + 1]
-        self.longest = int(np.diff(w.first).max(initial=0))
-        starts = np.arange(len(self.word))
-        self.starts = starts[(self.end - starts >= SEED) & (np.diff(w.first)[self.item] >= least_words)]
-        g = words.grams(w.key, SEED)
-        self.grams = np.unique(g[self.starts]) if len(self.starts) else np.empty(0, np.uint64)
-
-
-def _rows(word: np.ndarray, start: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
-    """The ``depth`` words from each start, zeros beyond its end."""
-    at = start[:, None] + np.arange(depth)
-    return np.where(at < end[:, None], word[np.minimum(at, len(word) - 1)], 0)
-
-
-def _sortable(rows: np.ndarray) -> np.ndarray:
-    """Each row as one string of bytes that sorts as the row does."""
-    return np.ascontiguousarray(rows.astype(">u4")).view(f"S{4 * rows.shape[1]}").ravel()
+        self.item = np.repeat(np.arange(len(ids)), np.diff(w.first)).astype(np.int32)
+        end = self.first[self.item + 1]
+        places = np.arange(len(self.word))
+        starts = places[(end - places >= SEED) & (np.diff(w.first)[self.item] >= least_words)]
+        gram = words.grams(w.key, SEED)[starts] if len(starts) else np.empty(0, np.uint64)
+        order = np.argsort(gram, kind="stable")
+        self.starts, gram = starts[order], gram[order]
+        new = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.empty(0, np.int64)
+        self.grams, self.gram_first = gram[new], np.append(new, len(gram))
+
+
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """The places of ``text`` in the order of the suffixes that begin there, by prefix doubling. 0 ends a suffix."""
+    n = len(text)
+    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
+    ends = np.flatnonzero(text == 0)
+    reach = np.append(ends, n)[np.searchsorted(ends, np.arange(n))] - np.arange(n)  # words left
+    order, depth = np.argsort(rank, kind="stable"), 1
+    while depth <= reach.max(initial=0):
+        then = np.where(reach > depth, rank[np.minimum(np.arange(n) + depth, n - 1)] + 1, 0)
+        key = rank * (n + 2) + then
+        order = np.argsort(key, kind="stable")
+        now = np.cumsum(np.concatenate([[False], key[order][1:] != key[order][:-1]]))
+        if now[-1] == rank.max():  # no order is left open that more words would settle
+            break
+        rank = np.empty(n, np.int64)
+        rank[order] = now
+        depth *= 2
+    return order
+
+
+def _compare(text: np.ndarray, at: np.ndarray, items: Items, p: np.ndarray) -> np.ndarray:
+    """-1, 0 or 1 as the ``SEED`` words of ``text`` from ``at`` come before, equal or come after those of the items from ``p``."""
+    out = np.zeros(len(at), np.int8)
+    for k in range(SEED):
+        a, b = text[np.minimum(at + k, len(text) - 1)], items.word[p + k]
+        out = np.where(out == 0, np.sign(a.astype(np.int64) - b), out)
+    return out
+
+
+def _search(text: np.ndarray, order: np.ndarray, items: Items, p: np.ndarray, right: bool) -> np.ndarray:
+    """Where in the suffix array the suffixes that begin with the first ``SEED`` words of the item suffixes ``p`` begin or end."""
+    low, high = np.zeros(len(p), np.int64), np.full(len(p), len(order))
+    while (low < high).any():
+        middle = (low + high) // 2
+        side = _compare(text, order[np.minimum(middle, len(order) - 1)], items, p)
+        after = (side < 0) | (right & (side == 0))
+        going = low < high
+        low, high = np.where(going & after, middle + 1, low), np.where(going & ~after, middle, high)
+    return low
 
 
 def matches(items: Items, w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -72,40 +109,51 @@ def matches(items: Items, w: words.Words) -> tuple[np.ndarray, np.ndarray, np.nd
     none = np.empty(0, np.int64)
     if len(w.key) < SEED or not len(items.grams):
         return none, none, none, none
+    n = len(w.key)
     where = np.minimum(np.searchsorted(items.vocabulary, w.key), len(items.vocabulary) - 1)
     word = np.where(items.vocabulary[where] == w.key, where + 1, 0).astype(np.int32)
     strange = np.concatenate([[0], np.cumsum(word == 0)])
     text_end = np.repeat(w.first[1:], np.diff(w.first))
-    at = np.flatnonzero((strange[SEED:] == strange[:-SEED]) & (text_end[: len(word) - SEED + 1] - np.arange(len(word) - SEED + 1) >= SEED))
+    at = np.flatnonzero((strange[SEED:] == strange[:-SEED]) & (text_end[: n - SEED + 1] - np.arange(n - SEED + 1) >= SEED))
     if not len(at):
         return none, none, none, word
     g = words.grams(w.key, SEED)[at]
     spot = np.minimum(np.searchsorted(items.grams, g), len(items.grams) - 1)
-    at = at[items.grams[spot] == g]
+    hit = items.grams[spot] == g
+    at, spot = at[hit], np.unique(spot[hit])
     if not len(at):
         return none, none, none, word
-    rows = _rows(word, at, text_end[at], items.longest)
-    keys = _sortable(rows)
-    order = np.argsort(keys, kind="stable")  # the suffix array of the shard
-    at, keys, rows = at[order], keys[order], rows[order]
-    mine = _rows(items.word, items.starts, items.end[items.starts], items.longest)
-    low, high = mine.copy(), mine.copy()
-    low[:, SEED:], high[:, SEED:] = 0, np.iinfo(np.int32).max
-    left, right = np.searchsorted(keys, _sortable(low)), np.searchsorted(keys, _sortable(high), "right")
+    # the stretches that the sequences cover, a 0 behind each; neighbouring texts never share one
+    covered = np.zeros(n + 1, np.int64)
+    np.add.at(covered, at, 1)
+    np.add.at(covered, at + SEED, -1)
+    place = np.flatnonzero(np.cumsum(covered[:n]) > 0)
+    last = np.flatnonzero(np.append(np.diff(place) > 1, True) | np.append(text_end[place[:-1]] != text_end[place[1:]], True))
+    text = np.insert(word[place], last + 1, 0)
+    place = np.insert(place, last + 1, -1)
+    order = suffix_array(text)
+    size = items.gram_first[spot + 1] - items.gram_first[spot]
+    p = items.starts[np.repeat(items.gram_first[spot], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
+    left, right = _search(text, order, items, p, False), _search(text, order, items, p, True)
     found = [(none, none, none)]
     count = right - left
-    for a, b in _portions(count, 200_000):
+    for a, b in _portions(count, PAIRS):
         k = count[a:b]
-        s = np.repeat(np.arange(a, b), k)
-        t = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(left[a:b], k)
-        p, q = items.starts[s], at[t]
-        before_p = np.where(p > items.first[items.item[p]], items.word[p - 1], -1)
-        before_q = np.where(np.isin(q, w.first), -2, word[q - 1])
-        keep = before_p != before_q
-        s, t = s[keep], t[keep]
-        same = (mine[s] == rows[t]) & (mine[s] > 0)
-        length = np.where(same.all(1), items.longest, np.argmin(same, 1))
-        found.append((p[keep], q[keep], length))
+        mine = np.repeat(p[a:b], k)
+        t = order[np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(left[a:b], k)]
+        before_p = np.where(mine > items.first[items.item[mine]], items.word[mine - 1], -1)
+        before_t = np.where((t > 0) & (text[t - 1] > 0), text[t - 1], -2)
+        keep = before_p != before_t
+        mine, t = mine[keep], t[keep]
+        length, end = np.full(len(mine), SEED), items.first[items.item[mine] + 1]
+        going = np.arange(len(mine))
+        while len(going):  # as many words as the match has, and no more
+            i = mine[going, None] + length[going, None] + np.arange(STRIDE)
+            j = t[going, None] + length[going, None] + np.arange(STRIDE)
+            same = (i < end[going, None]) & (j < len(text)) & (items.word[np.minimum(i, len(items.word) - 1)] == text[np.minimum(j, len(text) - 1)])
+            length[going] += np.where(same.all(1), STRIDE, np.argmin(same, 1))
+            going = going[same.all(1)]
+        found.append((mine, place[t], length))
     p, q, length = (np.concatenate(x) for x in zip(*found, strict=True))
     return p, q, length, word
 
@@ -120,88 +168,71 @@ def _portions(count: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         begin = end
 
 
-def aligned(items: Items, p: np.ndarray, q: np.ndarray, word: np.ndarray, q_from: np.ndarray, q_to: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Length in item words of the longest passage around each pair of places ``p`` (item) and ``q`` (document), 0 if none
-    is long enough; and of the longest stretch with at most ``most`` edits, however many that are for its length.
-    ``q_from`` and ``q_to`` bound the pair's document; without ``most`` as many edits are tried as an item can have.
+def aligned(items: Items, p: np.ndarray, q: np.ndarray, length: np.ndarray, word: np.ndarray, q_from: np.ndarray, q_to: np.ndarray) -> np.ndarray:
+    """Length in item words of the longest passage seen around each match of ``length`` words at ``p`` (item) and ``q``
+    (document), 0 if none is long enough. ``q_from`` and ``q_to`` bound the pair's document.
 
     For each shift of the document against the item and each number of edits the earliest item word is kept at which a
-    passage can have begun, over the item's words in turn.
+    passage can have begun, over the item's words around the match in turn.
     """
-    item = items.item[p]
-    size = items.first[item + 1] - items.first[item]
-    longest = int(size.max())
-    most = longest // 10 if most is None else most
-    width = 2 * most + 1
-    far = longest + 1
-    shape = (len(p), width + 2, most + 1)  # a column more at either side
+    item, most, far = items.item[p], items.edits, np.iinfo(np.int32).max // 2
+    low, high = np.maximum(items.first[item], p - items.around), np.minimum(items.first[item + 1], p + length + items.around)
+    shape = (len(p), 2 * most + 3, most + 1)  # a column more at either side
     begin = np.full(shape, far, np.int32)
-    best, stretch = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
-    base = q - (p - items.first[item])
+    best = np.zeros(len(p), np.int64)
     edits = 10 * np.arange(most + 1)
-    for i in range(longest):
-        target = np.where(i < size, items.word[np.minimum(items.first[item] + i, len(items.word) - 1)], -1)
-        j = base[:, None] + i + np.arange(-most, most + 1)
+    for step in range(int((high - low).max(initial=0))):
+        i = low + step
+        target = np.where(i < high, items.word[np.minimum(i, len(items.word) - 1)], -1)
+        j = (q - p + i)[:, None] + np.arange(-most, most + 1)
         inside = (j >= q_from[:, None]) & (j < q_to[:, None])
         hit = inside & (word[np.clip(j, 0, len(word) - 1)] == target[:, None])
         now = np.full(shape, far, np.int32)
-        match = np.minimum(begin[:, 1:-1, :], np.where(edits == 0, i, far))
+        match = np.minimum(begin[:, 1:-1, :], np.where(edits == 0, i[:, None, None], far))
         now[:, 1:-1, :] = np.where(hit[:, :, None], match, far)
-        length = np.where(hit[:, :, None], i + 1 - match, 0)
-        stretch = np.maximum(stretch, length.max((1, 2)))
-        good = (length >= items.least) & (edits <= length)
-        best = np.maximum(best, np.where(good, length, 0).max((1, 2)))
-        if most:
-            now[:, 1:-1, 1:] = np.minimum(now[:, 1:-1, 1:], np.where(inside[:, :, None], begin[:, 1:-1, :-1], far))  # changed
-            now[:, 1:-1, 1:] = np.minimum(now[:, 1:-1, 1:], begin[:, 2:, :-1])  # missing
-            for e in range(most):  # added
-                now[:, 2:-1, e + 1] = np.minimum(now[:, 2:-1, e + 1], now[:, 1:-2, e])
+        long = np.where(hit[:, :, None], i[:, None, None] + 1 - match, 0)
+        best = np.maximum(best, np.where((long >= items.least) & (edits <= long), long, 0).max((1, 2)))
+        now[:, 1:-1, 1:] = np.minimum(now[:, 1:-1, 1:], np.where(inside[:, :, None], begin[:, 1:-1, :-1], far))  # changed
+        now[:, 1:-1, 1:] = np.minimum(now[:, 1:-1, 1:], begin[:, 2:, :-1])  # missing
+        for e in range(most):  # added
+            now[:, 2:-1, e + 1] = np.minimum(now[:, 2:-1, e + 1], now[:, 1:-2, e])
         begin = now
-    return best, stretch
+    return best
 
 
-def search(items: Items, texts: list[str | None]) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Of one shard: the numbers of leaking texts, the item numbers, the longest verbatim match, the longest passage."""
+def search(items: Items, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """Of one shard: the numbers of leaking texts, the item numbers, the longest verbatim match of each pair, its first word in the
+    text and in the item, and the words of a passage that proves the leak."""
     w = words.split(texts, fold=True)
     p, q, length, word = matches(items, w)
-    if not len(p):
-        return [], [], [], []
     text = np.searchsorted(w.first, q, "right") - 1
-    item = items.item[p]
-    pair = text * np.int64(len(items.ids)) + item
-    verbatim: dict[int, int] = {}
-    passage: dict[int, int] = {}
-    for key, n in zip(pair.tolist(), length.tolist(), strict=True):
-        verbatim[key] = max(verbatim.get(key, 0), n)
-    passage = {key: n for key, n in verbatim.items() if n >= items.least}
-    _, one = np.unique(np.stack([pair, q - p]), axis=1, return_index=True)  # a pair is aligned once for each shift
-    size = np.diff(items.first)[item]
-    for most in (FEW_EDITS, None):
-        one = one[~np.isin(pair[one], np.fromiter(passage, np.int64, len(passage)))]
-        one, kept = one[np.argsort(size[one], kind="stable")], []
-        for a in range(0, len(one), ALIGN_STEP):
-            k = one[a : a + ALIGN_STEP]
-            long, stretch = aligned(items, p[k], q[k], word, w.first[text[k]], w.first[text[k] + 1], most)
-            for key, n in zip(pair[k].tolist(), long.tolist(), strict=True):
-                if n:
-                    passage[key] = max(passage.get(key, 0), n)
-            kept.append(k[stretch >= FEW_EDITS_WORDS])
-        one = np.concatenate([np.empty(0, np.int64), *kept])
-    keys = sorted(passage)
-    return [k // len(items.ids) for k in keys], [k % len(items.ids) for k in keys], [verbatim[k] for k in keys], [passage[k] for k in keys]
+    item = items.item[p].astype(np.int64)
+    pair = text * np.int64(max(len(items.ids), 1)) + item
+    order = np.lexsort((p, q, -length, pair))
+    head = order[np.concatenate([[True], pair[order][1:] != pair[order][:-1]])] if len(order) else order
+    passage = np.where(length[head] >= items.least, length[head], 0)
+    left = np.flatnonzero(~np.isin(pair, pair[head][passage > 0]))
+    for a in range(0, len(left), ALIGN_STEP):
+        k = left[a : a + ALIGN_STEP]
+        long = aligned(items, p[k], q[k], length[k], word, w.first[text[k]], w.first[text[k] + 1])
+        np.maximum.at(passage, np.searchsorted(pair[head], pair[k]), long)
+    some = passage > 0
+    h = head[some]
+    return text[h], item[h], length[h], q[h] - w.first[text[h]], p[h] - items.first[item[h]], passage[some]
 
 
 def leaks(documents: DataFrame, eval_items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_words: int = 15) -> DataFrame:
-    """``(id, item, verbatim_words, passage_words)``: every document with every item that it gives away.
+    """``(id, item, verbatim_words, doc_word, item_word, passage_words)``: every document with every item that it gives away.
 
-    ``verbatim_words``: the longest verbatim match; ``passage_words``: the item words of a passage that proves the leak (a
-    verbatim match of ``least_words`` is proof enough and is then not aligned further).
+    ``verbatim_words``: the longest verbatim match, ``doc_word`` and ``item_word``: where it begins, in words from 0 (of equally
+    long ones the first in the document); ``passage_words``: the item words of a passage that proves the leak (a verbatim match of
+    ``least_words`` is proof enough and is then not aligned further).
     """
     docs = documents.select(id_col, text_col)
     asked = eval_items.select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))
     letters = asked.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-letters // (2 * BLOCK_WORDS)))
-    schema = f"{id_col} {docs.schema[0].dataType.simpleString()}, {item_col} {asked.schema[0].dataType.simpleString()}, verbatim_words bigint, passage_words bigint"
+    schema = f"{id_col} {docs.schema[0].dataType.simpleString()}, {item_col} {asked.schema[0].dataType.simpleString()}, verbatim_words bigint, doc_word bigint, item_word bigint, passage_words bigint"
     item_type = to_arrow_type(asked.schema[0].dataType)
 
     def one(block: int) -> DataFrame:
@@ -213,8 +244,8 @@ def leaks(documents: DataFrame, eval_items: DataFrame, id_col: str = "doc_id", t
             for batch in batches:
                 texts = batch.column(1).to_pylist()
                 for a, b in words.steps(texts):
-                    i, item, verbatim, passage = search(items, texts[a:b])
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([x + a for x in i], pa.int64())), pa.array([items.ids[x] for x in item], item_type), pa.array(verbatim, pa.int64()), pa.array(passage, pa.int64())], [id_col, item_col, "verbatim_words", "passage_words"])
+                    text, item, *found = search(items, texts[a:b])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text + a)), pa.array([items.ids[x] for x in item], item_type), *(pa.array(x.astype(np.int64)) for x in found)], [id_col, item_col, "verbatim_words", "doc_word", "item_word", "passage_words"])
 
         return docs.mapInArrow(find, schema)
 
