@@ -57,7 +57,12 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
 
 def p4_families(spark: SparkSession, root: str) -> DataFrame:
     """Size and the three most typical scenes of every family."""
-    return _families(spark, root).described()
+    return _families(spark, root).described().withColumn("similarity", F.round("similarity", 4))
+
+
+def p4_clusters(spark: SparkSession, root: str) -> DataFrame:
+    """Clusters of mutually similar scenes within each family: their medoids and sizes."""
+    return _families(spark, root).clusters().select("family", "cluster", "size").distinct()
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
@@ -120,7 +125,7 @@ def p9_composition(spark: SparkSession, root: str) -> DataFrame:
     return _areas(spark, root).groupBy("subject").agg(F.count("*").alias("n_documents"), F.sum("n_words").alias("n_words"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_gaps, p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p5_found, p5_nearest, p6_subset, p7_found, p7_containers, p7_filling, p8_found, p8_clean, p9_found, p9_composition)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_gaps, p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p4_clusters, p5_found, p5_nearest, p6_subset, p7_found, p7_containers, p7_filling, p8_found, p8_clean, p9_found, p9_composition)}
 _NEAREST = """
     select video_id, seg_no, frame_idx, gap from (
         select s.video_id, s.seg_no, k.frame_idx, abs(k.pts_time - (s."start" + s."end") / 2) as gap,
@@ -161,6 +166,20 @@ SQL: dict[str, str] = {
         e as (select a.scene_key as a, b.scene_key as b from v a join v b on a.scene_key <> b.scene_key and list_cosine_similarity(a.v, b.v) >= 0.89),
         r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
         select min(b) as scene_key_a, a as scene_key_b from r group by a having min(b) < a""",
+    "p4_families": f"""
+        with recursive {_UNIT},
+        s as (select distinct scene_key, video_id, start_frame, end_frame from scenes where start_frame <= end_frame),
+        m as (select scene_key, i, avg(u[i]) as m from s join unit f on s.video_id = f.video_id and f.frame_idx between s.start_frame and s.end_frame, unnest(generate_series(1, 64)) as t(i) group by scene_key, i),
+        v as (select scene_key, list(m order by i) as v from m group by scene_key),
+        n as (select scene_key, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) as v from v),
+        e as (select a.scene_key as a, b.scene_key as b from n a join n b on a.scene_key <> b.scene_key and list_inner_product(a.v, b.v) >= 0.89),
+        r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a),
+        f as (select a as id, min(b) as family from r group by a),
+        c as (select family, i, avg(v[i]) as m from f join n on n.scene_key = f.id, unnest(generate_series(1, 64)) as t(i) group by family, i),
+        d as (select family, list(m order by i) as m from c group by family),
+        g as (select f.family, f.id, list_cosine_similarity(n.v, d.m) as s, count(*) over (partition by f.family) as size from f join n on n.scene_key = f.id join d on d.family = f.family)
+        select family, size::bigint as size, id, "rank"::int as "rank", round(s, 4) as similarity
+        from (select *, row_number() over (partition by family order by round(s, 5) desc, id) as "rank" from g) where "rank" <= 3""",
     # by what the task says of these texts: one token at least for every word between blanks
     "p7_found": r"select doc_id from documents where len(regexp_split_to_array(trim(text), '\s+')) > (select max(capacity_tokens) from pack_sizes)",
 }

@@ -84,6 +84,24 @@ def test_families_equal_chains(spark, monkeypatch, block):
         for m in found.described(2).collect():
             size.setdefault(m.family, m.size)
         assert size == {t: 1 + list(want.values()).count(t) for t in set(want.values())}
+        rows = found.clusters().toPandas()
+        vec = dict(zip((3 * np.arange(len(x)) + 1).tolist(), x))
+        assert set(rows.id) == set(want) | set(want.values()) and rows.id.is_unique
+        assert all(want.get(r.id, r.id) == r.family == want.get(r.cluster, r.cluster) for r in rows.itertuples())
+        assert rows.groupby("cluster").id.count().to_dict() == rows.set_index("cluster")["size"].to_dict()
+        medoids = {f: sorted(set(g.cluster)) for f, g in rows.groupby("family")}
+        for r in rows.itertuples():  # the closest medoid of the family
+            sims = [float(vec[r.id] @ vec[m]) for m in medoids[r.family]]
+            assert abs(r.similarity - max(sims)) < 1e-5
+        assert len(rows[rows.family == rows.family.mode()[0]].cluster.unique()) < 6 and (rows.similarity > 0.7).all()
+
+
+def test_shortened_products_are_bounds():
+    r = np.random.default_rng(3)
+    x = vectors.unit(r.normal(size=(400, 64)) + 1.0).astype(np.float32)
+    basis = families.directions(x.astype(np.float64), 0.89)
+    short = families.shortened(x, basis)
+    assert basis.shape[1] < 64 and (short @ short.T >= x @ x.T - 1e-6).all()
 
 
 def test_no_records(spark):
@@ -91,7 +109,7 @@ def test_no_records(spark):
     assert families.Families(df, 0.89).members.count() == 0
     one = spark.createDataFrame([(1, np.eye(64, dtype=np.float32)[0].tobytes())], "id long, vec binary")
     found = families.Families(one, 0.89)
-    assert found.members.count() == 0 and found.described().count() == 0
+    assert found.members.count() == 0 and found.described().count() == 0 and found.clusters().count() == 0
 
 
 def test_far_links_are_met(spark, monkeypatch):
