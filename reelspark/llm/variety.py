@@ -1,10 +1,12 @@
 """A varied subset of each group of records, of a given size, by cluster features.
 
-Every task sums its records up in cluster features (count, sum and sum of squares), a bounded number for each group; the
-summaries of the tasks are merged, two levels deep, by the same step: of all pairs of nearest features those whose union has the
-smallest radius become one. A feature stands for a region of about equal radius, however many records it holds, so the
-agglomeration by Ward linkage that follows weighs every feature alike and does not crowd in frequent regions. It is cut at as
-many groups as records are wanted, and each group gives the record nearest its centre.
+The records of a group are spread over parts by hash, and each part is summed up in a cluster-feature tree (features are
+count, sum and sum of squares) whose threshold rises until its leaf entries are few enough. The entries of the parts are put into
+trees again, two levels deep, which leaves one bounded set for each group. An entry stands for a region of about equal radius,
+however many records it holds. The agglomeration by Ward linkage that follows counts every entry as one: weighed by their records,
+frequent regions would be cut finer than rare ones, and the subset is to cover the variety without crowding there. It is cut at
+as many groups as records are wanted, and each group gives the record nearest its centre. Parts and orders come from hashes
+and keys, so the subset does not depend on how the table is partitioned.
 
 Where more than ``FINAL`` records are wanted the cut makes coarse cells first; each gets its part of the number, in proportion
 to its features, and is then treated as a group of its own, so no task sees more than ``ENTRIES`` features at once. Records
@@ -30,11 +32,10 @@ from pyspark.sql.window import Window
 from reelspark.llm import vectors
 from reelspark.runtime import cut
 
-#: Features of a group in the summary of one task's records and after a merge, and most wanted records that one
-#: agglomeration is cut at.
-LOCAL = 1024
+#: Leaf entries of a tree, most wanted records that one agglomeration is cut at, and merges of summaries side by side in one group.
 ENTRIES = 1024
 FINAL = 512
+MERGES = 64
 #: Wanted records for each coarse cell, and records that meet in one task when the nearest to the centres are sought.
 CELL = 256
 SPREAD = 20_000
@@ -72,27 +73,88 @@ class Features:
             same = np.unique(mark, return_inverse=True)[1].ravel()
             now = now.merged(same) if same.max() + 1 < len(same) else now
         while len(now.n) > most:
-            c = now.centres().astype(np.float32)
-            half = 0.5 * (c**2).sum(1)
-            near, far = np.empty(len(c), np.int64), np.empty(len(c))
-            for a in range(0, len(c), 1024):
-                d = half - c[a : a + 1024] @ c.T
-                own = np.arange(len(d))
-                d[own, a + own] = np.inf
-                near[a : a + 1024] = d.argmin(1)
-                far[a : a + 1024] = d[own, near[a : a + 1024]] + half[a : a + 1024]
-            n, total = now.n + now.n[near], now.total + now.total[near]
-            radius = (now.squares + now.squares[near]) / n - ((total / n[:, None]) ** 2).sum(1)
-            # those with the smallest radius join their nearest, if that is nearer to its own nearest, so that no ring closes
-            one = np.arange(len(c))
-            joins = np.flatnonzero((far > far[near]) | ((far == far[near]) & (one > near)))
-            pick = joins[np.argsort(radius[joins], kind="stable")[: max(1, min(len(c) - most, len(c) // 4))]]
-            one[pick] = near[pick]
-            while (one[one] != one).any():
-                one = one[one]
-            now = now.merged(one)
+            now, _ = now.condensed(most)
         return now
 
+    def radius(self, other: Features | None = None) -> np.ndarray:
+        """Mean square distance from the centre of the records of each feature, or of each together with that of ``other``."""
+        n, total, squares = (self.n, self.total, self.squares) if other is None else (self.n + other.n, self.total + other.total, self.squares + other.squares)
+        return np.maximum(squares / n - ((total / n[:, None]) ** 2).sum(1), 0)
+
+    def take(self, at: np.ndarray) -> Features:
+        return Features(self.n[at], self.total[at], self.squares[at])
+
+    def condensed(self, most: int) -> tuple[Features, float]:
+        """Fewer features, towards ``most``, and the largest radius that was made: of all pairs of nearest features those whose
+        union is smallest are made one."""
+        c = self.centres().astype(np.float32)
+        half = 0.5 * (c**2).sum(1)
+        near, far = np.empty(len(c), np.int64), np.empty(len(c))
+        for a in range(0, len(c), 1024):
+            d = half - c[a : a + 1024] @ c.T
+            own = np.arange(len(d))
+            d[own, a + own] = np.inf
+            near[a : a + 1024] = d.argmin(1)
+            far[a : a + 1024] = d[own, near[a : a + 1024]] + half[a : a + 1024]
+        radius = self.radius(self.take(near))
+        # those with the smallest radius join their nearest, if that is nearer to its own nearest, so that no ring closes
+        one = np.arange(len(c))
+        joins = np.flatnonzero((far > far[near]) | ((far == far[near]) & (one > near)))
+        pick = joins[np.argsort(radius[joins], kind="stable")[: max(1, min(len(c) - most, len(c) // 4))]]
+        one[pick] = near[pick]
+        while (one[one] != one).any():
+            one = one[one]
+        return self.merged(one), float(radius[pick].max())
+
+
+class Tree:
+    """A cluster-feature tree: leaf entries below nodes, the nodes holding the sums of their entries.
+
+    What is put in goes down by the nearest node to the nearest entry and is absorbed there if the union's radius stays within the
+    threshold; else it becomes an entry. When there are more than twice ``most`` entries the threshold is raised until
+    ``most`` are left, and the nodes are split anew, about as many as each has entries.
+    """
+
+    def __init__(self, most: int, entries: Features) -> None:
+        self.most, self.threshold, self.entries = most, 0.0, entries
+        self._renew()
+
+    def _renew(self) -> None:
+        now = self.entries
+        if len(now.n) > 2 * self.most:
+            now = now.bounded(len(now.n))  # equal records are one
+            while len(now.n) > self.most:
+                now, made = now.condensed(self.most)
+                self.threshold = max(self.threshold, made)
+        self.entries = now
+        c = now.centres()
+        nodes = c[:: max(1, int(np.sqrt(len(c))))]
+        for _ in range(2):
+            node = (0.5 * (nodes**2).sum(1) - c @ nodes.T).argmin(1)
+            used, node = np.unique(node, return_inverse=True)
+            nodes = Features(now.n, now.total, now.squares).merged(node).centres()
+        self.node, self.nodes = node, nodes
+
+    def put(self, new: Features) -> None:
+        c = new.centres()
+        node = (0.5 * (self.nodes**2).sum(1) - c @ self.nodes.T).argmin(1)
+        entry, centre = np.zeros(len(c), np.int64), self.entries.centres()
+        order, held = np.argsort(node, kind="stable"), np.argsort(self.node, kind="stable")
+        begins = np.searchsorted(self.node[held], np.arange(len(self.nodes) + 1))
+        for k in np.unique(node):
+            mine, there = order[np.searchsorted(node[order], k) : np.searchsorted(node[order], k, "right")], held[begins[k] : begins[k + 1]]
+            entry[mine] = there[(0.5 * (centre[there] ** 2).sum(1) - c[mine] @ centre[there].T).argmin(1)]
+        fits = new.radius(self.entries.take(entry)) <= self.threshold
+        into = np.append(entry[fits], np.arange(len(centre)))
+        whole = new.take(np.flatnonzero(fits)).plus(self.entries).merged(into)
+        if (bad := whole.radius() > np.maximum(self.threshold, self.entries.radius())).any():  # each fits, but not all of them
+            fits &= ~bad[entry]
+            whole = new.take(np.flatnonzero(fits)).plus(self.entries).merged(np.append(entry[fits], np.arange(len(centre))))
+        self.entries = whole.plus(new.take(np.flatnonzero(~fits)))
+        self.node = np.append(self.node, node[~fits])
+        if len(self.entries.n) > 2 * self.most:
+            self._renew()
+
 
 def ward(x: np.ndarray, k: int) -> np.ndarray:
     """The group of each row when Ward linkage of ``x`` is cut at ``k`` groups, by chains of nearest neighbours."""
@@ -159,49 +221,35 @@ def shares(wanted: int, weight: np.ndarray, most: np.ndarray) -> np.ndarray:
 
 
 def _summary(batches: Iterator[pa.RecordBatch], dim: int, summed: bool) -> Iterator[pa.RecordBatch]:
-    """Bounded features of each group among the rows of one task. ``summed``: the rows are features already and sorted by
-    group; else they are records. Groups that fill the memory are given out early; a later merge puts them together."""
-    held: dict[tuple, Features] = {}
-    most = ENTRIES if summed else min(LOCAL, ENTRIES)
-
-    def out() -> pa.RecordBatch:
-        group, salt, n, squares, total = [], [], [], [], []
-        for (g, s), f in held.items():
-            f = f.bounded(most)
-            group += [g] * len(f.n)
-            salt += [s] * len(f.n)
-            n.append(f.n)
-            squares.append(f.squares)
-            total.append(f.total)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(group), pa.array(salt, pa.int64()), pa.array(np.concatenate(n)), pa.array(np.concatenate(squares)), vectors.to_binary(np.concatenate(total))], ["group", "salt", "n", "squares", "total"])
+    """At most ``ENTRIES`` features for each group and salt, from a tree. Rows are sorted by group and salt; ``summed``: they are
+    features already, else records. Memory holds one tree."""
+    held: dict[tuple, Tree] = {}
+
+    def out(name: tuple) -> pa.RecordBatch:
+        f = held.pop(name).entries.bounded(ENTRIES)
+        k = len(f.n)
+        return pa.RecordBatch.from_arrays([pa.array([name[0]] * k), pa.array([name[1]] * k, pa.int64()), pa.array(f.n), pa.array(f.squares), vectors.to_binary(f.total)], ["group", "salt", "n", "squares", "total"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        encoded = batch.column(0).dictionary_encode()
-        names = encoded.dictionary.to_pylist()
-        key = np.asarray(encoded.indices) * np.int64(1 << 20) + batch.column(1).to_numpy()
         if summed:
-            all_rows = Features(batch.column(2).to_numpy(), vectors.from_binary(batch.column(4), dim, np.float64), batch.column(3).to_numpy())
+            rows = Features(batch.column(2).to_numpy(), vectors.from_binary(batch.column(4), dim, np.float64), batch.column(3).to_numpy())
         else:
-            all_rows = Features.of(vectors.unit(vectors.from_binary(batch.column(2), dim)))
-        order = np.argsort(key, kind="stable")
-        starts = np.flatnonzero(vectors.changes(key[order]))
-        for a, b in zip(starts, [*starts[1:], len(key)], strict=True):
-            k = int(key[order[a]])
-            at = order[a:b]
-            name = (names[k >> 20], k & ((1 << 20) - 1))
-            new = Features(all_rows.n[at], all_rows.total[at], all_rows.squares[at])
-            f = held[name].plus(new) if name in held else new
-            held[name] = f.bounded(most) if len(f.n) > 2 * most else f
-        if sum(len(f.n) for f in held.values()) > 96 * ENTRIES:
-            for name in held:
-                held[name] = held[name].bounded(most)
-            if sum(len(f.n) for f in held.values()) > 48 * ENTRIES:
-                yield out()
-    if held:
-        yield out()
+            rows = Features.of(vectors.unit(vectors.from_binary(batch.column(2), dim)))
+        starts = np.flatnonzero(vectors.changes(vectors.codes(batch.column(0)), batch.column(1).to_numpy()))
+        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            name = (batch.column(0)[a].as_py(), batch.column(1)[a].as_py())
+            for other in [n for n in held if n != name]:  # groups stand together, so the one before is complete
+                yield out(other)
+            for c in range(a, b, ENTRIES):
+                new = rows.take(np.arange(c, min(c + ENTRIES, b)))
+                if name in held:
+                    held[name].put(new)
+                else:
+                    held[name] = Tree(ENTRIES, new)
+    for name in list(held):
+        yield out(name)
 
 
 def _cut(group: pa.Table, dim: int) -> pa.Table:
@@ -229,7 +277,7 @@ def _cut(group: pa.Table, dim: int) -> pa.Table:
     centre = f.merged(label).centres()
     k = len(c)
     name = group.column("group")[0].as_py()
-    return pa.table([pa.array([name] * k), vectors.to_binary(c), pa.array(label), vectors.to_binary(centre[label]), pa.array(quota[label]), pa.array([deeper] * k), pa.array(np.full(k, -(-there // SPREAD)))], ["group", "entry", "label", "centre", "quota", "deeper", "spread"])
+    return pa.table([pa.array([name] * k), vectors.to_binary(c), pa.array(label), vectors.to_binary(centre[label]), pa.array(quota[label]), pa.array([deeper] * k)], ["group", "entry", "label", "centre", "quota", "deeper"])
 
 
 def _nearest(records: pa.Table, entries: pa.Table, dim: int, names: list[str]) -> pa.Table:
@@ -280,9 +328,9 @@ def _keyframe_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def records_of(indices: DataFrame, frames: DataFrame, vector_col: str = "embedding", dim: int = vectors.DIM) -> DataFrame:
     """``(video_id, frame_idx, vec)`` of the different frames of ``indices`` that have a usable vector in ``frames``."""
     frame = F.col("frame_idx").cast("bigint").alias("frame_idx")
-    keys = indices.select("video_id", frame).dropna().distinct()
-    packed = vectors.pack(frames.select("video_id", frame, vector_col), ["video_id", "frame_idx"], vector_col, dim)
-    rows = packed.select("video_id", "frame_idx", F.lit(0).alias("kind"), "vec").unionByName(keys.select("video_id", "frame_idx", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("vec")))
+    keys = indices.select("video_id", frame).dropna()
+    packed = vectors.pack(frames.select("video_id", frame, vector_col), ["video_id", "frame_idx"], vector_col, dim, vectors.Bloom(keys, ["video_id", "frame_idx"]))
+    rows = packed.select("video_id", "frame_idx", F.lit(0).alias("kind"), "vec").unionByName(keys.distinct().select("video_id", "frame_idx", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("vec")))
     rows = rows.withColumn("chunk", F.floor(F.col("frame_idx") / CHUNK))
     return vectors.grouped(rows, ["video_id", "chunk"], ["frame_idx", "kind"]).mapInArrow(_keyframe_vectors, "video_id string, frame_idx bigint, vec binary")
 
@@ -304,13 +352,14 @@ def marked(records: DataFrame, request: DataFrame, dim: int = vectors.DIM) -> Da
     names = ["group", "video_id", "frame_idx"]
     cf = "group string, salt bigint, n double, squares double, total binary"
     while True:
-        first = now.select("group", F.pmod(F.spark_partition_id(), F.lit(64)).cast("bigint").alias("salt"), "vec").mapInArrow(lambda b: _summary(b, dim, False), cf)
-        second = vectors.grouped(first, ["group", "salt"], []).mapInArrow(lambda b: _summary(b, dim, True), cf)
-        last = vectors.grouped(second.withColumn("salt", F.lit(0).cast("bigint")), ["group"], []).mapInArrow(lambda b: _summary(b, dim, True), cf)
-        entries = cut(last.join(asked, "group").groupBy("group").applyInArrow(lambda g: _cut(g, dim), "group string, entry binary, label bigint, centre binary, quota bigint, deeper boolean, spread bigint"), "entries")
-        spread = entries.groupBy("group").agg(F.max("spread").alias("spread"))
-        parts = now.join(spread, "group").withColumn("part", F.pmod(F.xxhash64("video_id", "frame_idx"), F.col("spread")))
-        copies = entries.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("spread") - 1)))
+        # records are spread by hash and summed up in a fixed order, so that the outcome does not depend on how they are partitioned
+        spread = cut(now.groupBy("group").agg(F.ceil(F.count("*") / SPREAD).alias("spread")), "spread")
+        parts = now.join(spread, "group").withColumn("part", F.pmod(F.xxhash64("video_id", "frame_idx"), F.col("spread"))).drop("spread")
+        first = vectors.grouped(parts, ["group", "part"], ["video_id", "frame_idx"]).select("group", F.col("part").alias("salt"), "vec").mapInArrow(lambda b: _summary(b, dim, False), cf)
+        second = vectors.grouped(first.withColumn("part", F.col("salt")).withColumn("salt", F.pmod("salt", F.lit(MERGES))), ["group", "salt"], ["part", "n", "squares", "total"]).drop("part").mapInArrow(lambda b: _summary(b, dim, True), cf)
+        last = vectors.grouped(second.withColumn("part", F.col("salt")).withColumn("salt", F.lit(0).cast("bigint")), ["group", "salt"], ["part", "n", "squares", "total"]).drop("part").mapInArrow(lambda b: _summary(b, dim, True), cf)
+        entries = cut(last.join(asked, "group").groupBy("group").applyInArrow(lambda g: _cut(g, dim), "group string, entry binary, label bigint, centre binary, quota bigint, deeper boolean"), "entries")
+        copies = entries.join(spread, "group").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("spread") - 1))).drop("spread")
         near = parts.groupBy("group", "part").cogroup(copies.groupBy("group", "part")).applyInArrow(lambda r, e: _nearest(r, e, dim, names), "group string, video_id string, frame_idx bigint, vec binary, label bigint, quota bigint, deeper boolean, distance double, first boolean, part bigint")
         near = cut(near, "near")
         rank = F.row_number().over(Window.partitionBy("group", "label").orderBy("distance", "video_id", "frame_idx"))

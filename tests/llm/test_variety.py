@@ -68,6 +68,43 @@ def test_chosen(spark, monkeypatch, small):
     assert variety.choose(records.limit(0), ask, dim=8).count() == 0 and variety.choose(records, ask.limit(0), dim=8).count() == 0
 
 
+def test_tree_keeps_sums_and_bounds():
+    r = np.random.default_rng(4)
+    centre = r.normal(size=(30, 8)) * 4
+    x = centre[r.integers(30, size=6000)] + 0.1 * r.normal(size=(6000, 8))
+    tree = variety.Tree(100, variety.Features.of(x[:100]))
+    for a in range(100, 6000, 100):
+        tree.put(variety.Features.of(x[a : a + 100]))
+        assert len(tree.entries.n) <= 200 and len(tree.node) == len(tree.entries.n)
+    f = tree.entries
+    assert f.n.sum() == 6000 and np.allclose(f.total.sum(0), x.sum(0)) and np.isclose(f.squares.sum(), (x**2).sum())
+    assert 0 < tree.threshold < 0.2 and np.quantile(f.radius(), 0.9) <= tree.threshold and f.radius().max() < 0.4
+    near = np.linalg.norm(f.centres()[:, None] - centre, axis=2).min(0)
+    assert (near < 0.5).all()  # every place has entries
+
+
+def covered(x, chosen):
+    """Mean and largest distance of the rows of ``x`` from the nearest chosen one."""
+    d = np.sqrt(np.maximum(0, 2 - 2 * (x @ x[chosen].T).max(1)))
+    return d.mean(), d.max()
+
+
+def test_covers_more_than_chance_whatever_the_partitioning(spark):
+    r = np.random.default_rng(9)
+    centre = r.normal(size=(60, 16))
+    kind = np.where(r.random(3000) < 0.6, 0, r.integers(60, size=3000))  # one scene in more than half of the records
+    x = vectors.unit(centre[kind] + 0.25 * r.normal(size=(3000, 16)))
+    rows = [("g", "v", i, v.astype(np.float32).tobytes()) for i, v in enumerate(x)]
+    records = spark.createDataFrame(rows, "group string, video_id string, frame_idx bigint, vec binary")
+    ask = spark.createDataFrame([("g", 120)], "group string, wanted int")
+    got = [sorted(c.frame_idx for c in variety.choose(records.repartition(n), ask, dim=16).collect()) for n in (1, 7)]
+    assert got[0] == got[1] and len(got[0]) == 120
+    chance = [covered(x, r.choice(3000, 120, replace=False)) for _ in range(5)]
+    mean, most = covered(x, got[0])
+    assert most < min(c[1] for c in chance) and mean < 0.9 * np.mean([c[0] for c in chance])
+    assert (kind[got[0]] == 0).mean() < 0.35 and len(set(kind[got[0]])) == 60
+
+
 def test_missing_records_come_from_all_labels(spark, monkeypatch):
     """A label with fewer records than wanted of it: the others give the rest alike, however frequent they are."""
     real, dirs = variety._cut, np.eye(8)[:3]
