@@ -17,11 +17,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from reelspark.llm import words
 
-#: Rows on which cost and selectivity of the rules are measured; the order alone depends on it, never a result.
+#: Texts on which cost and selectivity of the rules are measured, and the longest of them; the order of the rules alone depends
+#: on it, never a result.
 SAMPLE_ROWS = 400
+SAMPLE_CHARS = 20_000
 
 
 def _needed(n: np.ndarray, least: float) -> np.ndarray:
@@ -97,13 +100,20 @@ def plan(texts: list[str | None], length: int, least: float) -> list[str]:
     return sorted(gain, key=lambda name: -gain[name])
 
 
+def _sample(df: DataFrame, text_col: str, seed: int = 5) -> list[str]:
+    """About ``SAMPLE_ROWS`` texts from all over the table; at most twice as many, none longer than ``SAMPLE_CHARS``."""
+    rows = df.count()
+    some = df.select(text_col).sample(min(1.0, SAMPLE_ROWS / max(rows, 1)), seed).where(F.length(text_col) <= SAMPLE_CHARS)
+    return [r[0] for r in some.limit(2 * SAMPLE_ROWS).collect()]
+
+
 def share(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 8, least: float = 0.0) -> DataFrame:
     """``(id, n_words, n_repeated, share)`` of every document whose share of repeated words is at least ``least``.
 
     One pass without a shuffle. With ``least`` 0 every document is returned and no bound is asked.
     """
     narrow = df.select(id_col, text_col)
-    order = plan([r[1] for r in narrow.limit(SAMPLE_ROWS).collect()], length, least) if least > 0 else []
+    order = plan(_sample(narrow, text_col), length, least) if least > 0 else []
     id_type = narrow.schema[0].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,8 +21,7 @@ _MARK = 0xFFFFFFFF
 
 
 class Words(NamedTuple):
-    """``key``: 64-bit hash of each word; ``first``: for each text the index of its first word, and the total at the end;
-    ``start`` and ``end``: place of each word in its text's letters, counted over all texts of the step."""
+    """``key``: 64-bit hash of each word; ``first``: for each text the index of its first word, and the total at the end."""
 
     key: np.ndarray
     first: np.ndarray
