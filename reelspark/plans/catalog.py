@@ -6,7 +6,6 @@ so that results compare across engines.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from reelspark import backends
 from reelspark.functions import geometry, packed, paths, values, vectors
 from reelspark.operators import catalog, keyframes, manifests, ocr, scenes, transcripts
-from reelspark.runtime import shared_dir, table
+from reelspark.runtime import scratch, spread, table
 from reelspark.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,7 +105,7 @@ def transcript_records(spark: SparkSession, root: str) -> DataFrame:
 
 @query(f"select doc_id, md5({_CLEAN.format('text')}) as clean_md5 from documents")
 def clean_text(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select("doc_id", F.md5(values.clean_text(F.col("text"))).alias("clean_md5"))
+    return spread(table(spark, root, "documents").select("doc_id", "text")).select("doc_id", F.md5(values.clean_text(F.col("text"))).alias("clean_md5"))
 
 
 @query(f"""
@@ -117,7 +116,7 @@ def clean_text(spark: SparkSession, root: str) -> DataFrame:
         md5(coalesce(string_agg(case when n = 1 then line end, chr(10) order by place), '')) as kept_md5
     from documents d left join kept k using (doc_id) group by d.doc_id""")
 def line_dedupe(spark: SparkSession, root: str) -> DataFrame:
-    return ocr.first_lines(table(spark, root, "documents"), "doc_id", "text").select("doc_id", "n_lines", "n_kept", F.md5("text").alias("kept_md5"))
+    return ocr.first_lines(spread(table(spark, root, "documents").select("doc_id", "text")), "doc_id", "text").select("doc_id", "n_lines", "n_kept", F.md5("text").alias("kept_md5"))
 
 
 @query("""
@@ -458,7 +457,8 @@ def _boxes(spark: SparkSession, root: str) -> DataFrame:
     turn = F.when(F.col("l_linenumber") % 2 == 0, F.lit(2.0)).otherwise(0.0)
     corner = lambda a, b: geometry.point(a, b)
     box = F.array(corner(x + w, y + turn), corner(x + w - turn, y + h), corner(x, y + h - turn), corner(x + turn, y))
-    return table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", box.alias("box"))
+    needed = table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax")
+    return spread(needed).select("l_orderkey", "l_linenumber", box.alias("box"))
 
 
 _BOX = """
@@ -539,7 +539,7 @@ def casefold_keys(spark: SparkSession, root: str) -> DataFrame:
 @query("""select video_id, count(*)::bigint as n_segments, round(sum("end" - "start"), 3) as seconds from asr_segments where "start" <= "end" and video_id is not null group by video_id""")
 def stream_equals_batch(spark: SparkSession, root: str) -> DataFrame:
     """Segments read as a stream of files until all are taken, written, and summed."""
-    work = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    work = scratch(spark, "stream")
     source = f"{root}/asr_segments.parquet"
     schema = spark.read.parquet(source).schema
     # a table is a folder of files or a single file; a stream reads folders

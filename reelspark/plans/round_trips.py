@@ -15,17 +15,14 @@ from reelspark import backends, media, pipelines
 from reelspark.functions import geometry, paths, values
 from reelspark.operators import catalog, manifests, ocr, scenes
 from reelspark.plans.catalog import _CLEAN, _FPS, _MAP, _REPLACED, _SEGMENTS, _STRIP, _USABLE, _VIDEOS, _map, _segments, long, query
-from reelspark.runtime import shared_dir, table
+from reelspark.runtime import cut, scratch, spread, table
 from reelspark.sources import readers, sinks
 from reelspark.streaming import incremental
 
 
 def _folder(spark: SparkSession) -> str:
     """A new folder that ends with the application."""
-    path = f"{shared_dir(spark)}/trip-{uuid.uuid4().hex}"
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
+    return scratch(spark, "trip")
 
 
 def _videos(spark: SparkSession, root: str) -> DataFrame:
@@ -310,7 +307,7 @@ def _pages(spark: SparkSession, root: str) -> DataFrame:
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda t, i: F.struct(t.alias("text"), F.when(i % 3 == 0, F.lit(0.9)).when(i % 3 == 1, F.lit(0.5)).alias("confidence")))
     name = F.format_string("%08d", "doc_id")
     path = F.concat("video_id", F.lit("/"), name, F.lit(".webp"))
-    return table(spark, root, "documents").where("video_id is not null").select(F.col("video_id").alias("group_id"), name.alias("image_id"), F.col("doc_id").cast("string").alias("map_id"), F.lit("").alias("subfolder"), path.alias("path"), path.alias("original_path"), F.lit("").alias("preprocessed_path"), F.lit(1.5).alias("latency_ms"), lines.alias("lines"))
+    return spread(table(spark, root, "documents").where("video_id is not null").select("doc_id", "video_id", "text")).select(F.col("video_id").alias("group_id"), name.alias("image_id"), F.col("doc_id").cast("string").alias("map_id"), F.lit("").alias("subfolder"), path.alias("path"), path.alias("original_path"), F.lit("").alias("preprocessed_path"), F.lit(1.5).alias("latency_ms"), lines.alias("lines"))
 
 
 _READ = f"""
@@ -330,7 +327,7 @@ def prediction_records(spark: SparkSession, root: str) -> DataFrame:
 def prediction_table(spark: SparkSession, root: str) -> DataFrame:
     """The CSV of predictions, written and read again; it has the 13 plain fields in order."""
     where = _folder(spark)
-    sinks.predictions(ocr.predictions(_pages(spark, root)), where, by_group=False)
+    sinks.predictions(cut(ocr.predictions(_pages(spark, root)), "records"), where, by_group=False)
     rows = spark.read.csv(f"{where}/ocr_predictions", header=True, escape='"', multiLine=True)
     checked = catalog.require(rows, F.lit(tuple(rows.columns) == ocr.ROW_FIELDS), "the fields of the table differ")
     return checked.select("group_id", "image_id", F.col("line_count").cast("int").alias("line_count"), F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
@@ -342,7 +339,7 @@ def prediction_table(spark: SparkSession, root: str) -> DataFrame:
 def group_records(spark: SparkSession, root: str) -> DataFrame:
     """The JSON files of groups, written and read again: records in order of image ids, with their 11 fields."""
     where = _folder(spark)
-    sinks.predictions(ocr.predictions(_pages(spark, root)), where)
+    sinks.predictions(cut(ocr.predictions(_pages(spark, root)), "records"), where)
     line = "struct<text:string,confidence:double>"
     kind = f"array<struct<idx:string,image_id:string,frame_id:string,map_id:string,subfolder:string,path:string,preprocessed_path:string,text:array<string>,text_joined:string,latency_ms:double,all_lines:array<{line}>>>"
     rows = spark.read.text(f"{where}/groups").select(F.col("file").alias("group_id"), F.from_json("value", kind).alias("r"))
@@ -487,7 +484,7 @@ def image_files(spark: SparkSession, root: str) -> DataFrame:
     rel = F.concat(F.col("n_nationkey").cast("string"), F.lit("/"), "n_name", F.lit(".png"))
     rows = table(spark, root, "nation").select(F.concat(F.lit(f"{where}/"), rel).alias("path"), F.unhex(F.repeat(F.lit("0a3040"), 12)).alias("pixels"), F.lit(4).alias("width"), F.lit(3).alias("height"))
     done = media.write_images(rows).select(F.substring("path", len(where) + 2, 1 << 30).alias("rel_path"), "backend")
-    kept = pipelines.cut(done, "written")
+    kept = cut(done, "written")
     return readers.tree(spark, where, ("png",)).select("rel_path").join(kept, "rel_path")
 
 
@@ -538,7 +535,7 @@ def job_keyframes(spark: SparkSession, root: str) -> DataFrame:
     of = lambda rows: lambda new: rows.join(new.select("video_id"), "video_id", "left_semi")
     found = pipelines.extract_keyframes(spark, vids, store, of(frames), of(scores))
     again = pipelines.extract_keyframes(spark, vids, store, _refuse, _refuse)  # nothing is left to do
-    usable = pipelines.cut(keyframes_reach(frames), "reach")
+    usable = cut(keyframes_reach(frames), "reach")
     t = store.read("scenes").join(usable, "video_id").select("video_id", F.greatest("start_frame", "low").alias("a"), F.least("end_frame", "high").alias("b")).where("b - a + 1 > 512")
     inside = again.join(found.select("video_id", "frame_idx"), ["video_id", "frame_idx"]).join(t, "video_id").where("frame_idx between a and b")
     return inside.select("video_id", "frame_idx").distinct().agg(F.count("*").alias("n_blocks_found"), F.countDistinct("video_id").alias("n_videos"), F.sum("frame_idx").alias("frames"))
@@ -565,7 +562,7 @@ def job_text(spark: SparkSession, root: str) -> DataFrame:
     base, out = _folder(spark), _folder(spark)
     read = _pages(spark, root)
     items = manifests.discover(read.select("group_id", "image_id", "path", "map_id", "subfolder", F.lit("").alias("source"), F.col("path").alias("seq")))
-    known = pipelines.cut(read.select("group_id", "image_id", "lines", "latency_ms"), "known")
+    known = cut(read.select("group_id", "image_id", "lines", "latency_ms"), "known")
     recognise = lambda asked: asked.select("group_id", "image_id").join(known, ["group_id", "image_id"])
     done = pipelines.read_text(items, recognise, out, models=("Stand In", "stand_in"))
     assert list(done) == ["stand_in"] and not pipelines.read_text(items, recognise, out, models=("stand_in",))

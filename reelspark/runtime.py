@@ -45,15 +45,35 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def cut(df: DataFrame, label: str = "cut") -> DataFrame:
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is there is removed when the application ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def cut(df: DataFrame, label: str = "cut", instead_of: DataFrame | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: a plan without lineage that outlives lost executors.
 
-    The table is removed when the application ends.
+    The table is removed when the application ends; ``instead_of``, an earlier one that nothing reads any more, at once.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    if (old := getattr(instead_of, "_cut", None)) is not None:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut = path
+    return out
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, over as many tasks as run at once if it is read by less than half as many.
+
+    A file with one row group is read by one task; before heavy expressions a shuffle of the few columns they need is the
+    cheaper way. A table of many row groups is left as it is.
+    """
+    most = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(most) if 2 * df._jdf.queryExecution().toRdd().getNumPartitions() <= most else df
