@@ -32,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
     now = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     mark = None
     while True:
-        now = cut(_small_star(_large_star(now)), "links")
+        now = cut(_small_star(_large_star(now)), "links", instead_of=now)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == mark:
             return now.select(F.col("a").alias("id"), F.col("b").alias("root"))

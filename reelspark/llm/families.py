@@ -374,7 +374,7 @@ class Families:
             new = cut(first.select("root", "id", "vec").groupBy("root").applyInArrow(pick, "root bigint, id bigint, vec binary"), "new")
             if not new.limit(1).count():
                 break
-            now = cut(self._nearest(now, new, least), "clusters")
+            now = cut(self._nearest(now, new, least), "clusters", instead_of=now)
         for _ in range(rounds):
             medoids = cut(self._medoids(now), "medoids")
             now = cut(self._nearest(now.select("root", "id", "vec", F.lit(None).cast("bigint").alias("pivot"), F.lit(None).cast("double").alias("similarity")), medoids, -1.0), "clusters")

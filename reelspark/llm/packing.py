@@ -4,7 +4,8 @@ First-fit decreasing with a tournament tree of the containers' room, run indepen
 A text is split only if it alone exceeds the capacity: into full containers and one rest, which is packed like an item.
 
 Defined results: null texts and texts without a token need no room and are not packed. Ties in size go by id. An id that
-occurs twice is packed twice, told apart by nothing but its rows. Extra columns are dropped; an empty table packs nothing.
+occurs twice is packed twice, told apart by nothing but its rows. A document falls into a group by its id and its place in
+the table, so that an id that repeats, or none, does not fill one group. Extra columns are dropped; an empty table packs nothing.
 """
 
 from __future__ import annotations
@@ -111,7 +112,7 @@ def pack(df: DataFrame, capacities: dict[str, int], id_col: str = "doc_id", text
         raise ValueError("capacities must be positive")
     groups = max(1, -(-(df.count() if rows is None else rows) // GROUP_DOCS))
     counted = sizes(df, id_col, text_col, tokenizer).where("n_tokens > 0")
-    grouped = counted.withColumn("group_no", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(groups)))
+    grouped = counted.withColumn("group_no", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.monotonically_increasing_id()), F.lit(groups)))
     id_type = counted.schema[0].dataType.simpleString()
     names = ["size_name", "capacity", "group_no", "container", id_col, "piece", "n_pieces", "n_tokens"]
 
