@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark import backends, media, pipelines
+from reelspark import backends, images, media, pipelines
 from reelspark.functions import geometry, paths, values
 from reelspark.operators import catalog, manifests, ocr, scenes
 from reelspark.plans.catalog import _CLEAN, _FPS, _MAP, _REPLACED, _SEGMENTS, _STRIP, _USABLE, _VIDEOS, _map, _segments, long, query
@@ -488,6 +488,47 @@ def image_files(spark: SparkSession, root: str) -> DataFrame:
     return readers.tree(spark, where, ("png",)).select("rel_path").join(kept, "rel_path")
 
 
+def _grey_images(spark: SparkSession, root: str) -> DataFrame:
+    """A small image of one lightness for each supplier, of many sizes."""
+    n = F.col("s_suppkey")
+    width, height = (n % 9 + 2).cast("int"), (n % 5 + 1).cast("int")
+    pixel = F.repeat(F.lpad(F.hex((n * 37 % 256).cast("bigint")), 2, "0"), 3)
+    return table(spark, root, "supplier").select("s_suppkey", "s_nationkey", F.unhex(F.repeat(pixel, (width * height).cast("int"))).alias("pixels"), width.alias("width"), height.alias("height"))
+
+
+@query("select s_suppkey, trunc((s_suppkey % 9 + 2) * (18.0::double / (s_suppkey % 5 + 1)))::int as width, 18::int as height, (s_suppkey * 37 % 256)::int as first from supplier")
+def image_heights(spark: SparkSession, root: str) -> DataFrame:
+    """Images at another height, the width in proportion."""
+    made = images.at_height(_grey_images(spark, root), 18)
+    return made.select("s_suppkey", "width", "height", F.conv(F.hex(F.substring("pixels", 1, 1)), 16, 10).cast("int").alias("first"))
+
+
+@query("""
+    select s_suppkey, greatest(1, round_even(w * s, 0))::int as width, greatest(1, round_even(h * s, 0))::int as height from (
+        select *, case when greatest(w, h) > 30 then 30.0::double / greatest(w, h) when least(w, h) < 4 then least(4.0::double / least(w, h), 30.0::double / greatest(w, h)) else 1.0::double end as s
+        from (select s_suppkey, (s_suppkey % 9 + 2)::bigint as w, (s_suppkey % 5 + 1)::bigint as h from supplier))""")
+def ready_images(spark: SparkSession, root: str) -> DataFrame:
+    """Images made ready for recognition: sides within bounds, then tones."""
+    return images.ready(_grey_images(spark, root), images.Preparation(30, 4, grey=True)).select("s_suppkey", "width", "height")
+
+
+@query("select s_suppkey, 0::int as line_index, 48::int as height, greatest(1, round_even((greatest(1, s_suppkey % 9 + 1) + 8) * 48.0::double / (greatest(1, s_suppkey % 5) + 8), 0))::int as width from supplier where greatest(1, s_suppkey % 5)::double / greatest(1, s_suppkey % 9 + 1) < 1.5 union all select s_suppkey, 0, 48, greatest(1, round_even((greatest(1, s_suppkey % 5) + 8) * 48.0::double / (greatest(1, s_suppkey % 9 + 1) + 8), 0))::int from supplier where greatest(1, s_suppkey % 5)::double / greatest(1, s_suppkey % 9 + 1) >= 1.5")
+def image_crops(spark: SparkSession, root: str) -> DataFrame:
+    """The box around all of an image as a crop for a recogniser of lines: turned if it is high, of one height."""
+    rows = _grey_images(spark, root)
+    box = F.array(geometry.rectangle(F.lit(0), F.lit(0), F.col("width") - 1, F.col("height") - 1))
+    return images.crops(rows.withColumn("corners", box), ["s_suppkey"]).select("s_suppkey", "line_index", "height", "width")
+
+
+@query("""
+    select s_nationkey::int as s_nationkey, s_suppkey, round(case when same then abs(v - before) / 3.0::double else 0 end, 6) as score from (
+        select s_nationkey, s_suppkey, s_suppkey * 37 % 256 as v, lag(s_suppkey * 37 % 256) over w as before, coalesce(lag(s_suppkey % 45) over w = s_suppkey % 45, false) as same from supplier window w as (partition by s_nationkey order by s_suppkey))""")
+def frame_scores(spark: SparkSession, root: str) -> DataFrame:
+    """How much an image differs from the one before it, nations as videos; images of another size are not compared."""
+    found = images.content_scores(_grey_images(spark, root), "s_nationkey", "s_suppkey")
+    return found.select("s_nationkey", "s_suppkey", F.round("score", 6).alias("score"))
+
+
 @query("select 'there' as name, true as found union all select 'never', false")
 def arrivals(spark: SparkSession, root: str) -> DataFrame:
     """Waiting for a file that is there, and in vain for one that is not."""
