@@ -84,6 +84,11 @@ def p6_subset(spark: SparkSession, root: str) -> DataFrame:
     return chosen.select(F.col("group").alias("collection"), "video_id", "frame_idx")
 
 
+def p6_counts(spark: SparkSession, root: str) -> DataFrame:
+    """How many different frames each collection gives."""
+    return p6_subset(spark, root).groupBy("collection").agg(F.countDistinct("video_id", "frame_idx").alias("n_frames"))
+
+
 def _packed(spark: SparkSession, root: str) -> tuple[DataFrame, dict[str, int]]:
     asked = {r.size_name: r.capacity_tokens for r in table(spark, root, "pack_sizes").collect()}
     return packing.pack(table(spark, root, "documents"), asked), asked
@@ -102,10 +107,26 @@ def p7_filling(spark: SparkSession, root: str) -> DataFrame:
     return packing.filling(_packed(spark, root)[0])
 
 
+def p7_checks(spark: SparkSession, root: str) -> DataFrame:
+    """For each capacity how many documents are packed, how many containers hold too much, and how many documents are split that would fit."""
+    packed = _packed(spark, root)[0]
+    held = packed.groupBy("size_name", "capacity", "group_no", "container").agg(F.sum("n_tokens").alias("held"))
+    over = held.groupBy("size_name", "capacity").agg(F.count_if(F.col("held") > F.col("capacity")).alias("n_over"))
+    whole = packed.groupBy("size_name", "doc_id", "capacity").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("pieces"), F.max("n_pieces").alias("n_pieces"))
+    wrong = F.count_if((F.col("pieces") != F.col("n_pieces")) | ((F.col("pieces") > 1) & (F.col("n_tokens") <= F.col("capacity"))))
+    return whole.groupBy("size_name").agg(F.count("*").alias("n_documents"), wrong.alias("n_split_wrongly")).join(over, "size_name")
+
+
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
     return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id").distinct()
 
 
+def p8_verbatim(spark: SparkSession, root: str) -> DataFrame:
+    """Documents that hold 15 or more words of an item in a row letter by letter, but for case and the like."""
+    found = leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items"))
+    return found.where("verbatim_words >= 15").select("doc_id", "item_id").distinct()
+
+
 def p8_clean(spark: SparkSession, root: str) -> DataFrame:
     """Ids of the documents that may stay in the training text."""
     documents = table(spark, root, "documents")
@@ -125,7 +146,7 @@ def p9_composition(spark: SparkSession, root: str) -> DataFrame:
     return _areas(spark, root).groupBy("subject").agg(F.count("*").alias("n_documents"), F.sum("n_words").alias("n_words"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_gaps, p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p4_clusters, p5_found, p5_nearest, p6_subset, p7_found, p7_containers, p7_filling, p8_found, p8_clean, p9_found, p9_composition)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_gaps, p2_found, p2_runs, p3_found, p3_share, p4_found, p4_families, p4_clusters, p5_found, p5_nearest, p6_subset, p6_counts, p7_found, p7_containers, p7_filling, p7_checks, p8_found, p8_verbatim, p8_clean, p9_found, p9_composition)}
 _NEAREST = """
     select video_id, seg_no, frame_idx, gap from (
         select s.video_id, s.seg_no, k.frame_idx, abs(k.pts_time - (s."start" + s."end") / 2) as gap,
@@ -180,6 +201,18 @@ SQL: dict[str, str] = {
         g as (select f.family, f.id, list_cosine_similarity(n.v, d.m) as s, count(*) over (partition by f.family) as size from f join n on n.scene_key = f.id join d on d.family = f.family)
         select family, size::bigint as size, id, "rank"::int as "rank", round(s, 4) as similarity
         from (select *, row_number() over (partition by family order by round(s, 5) desc, id) as "rank" from g) where "rank" <= 3""",
+    "p6_counts": """
+        select collection, least(any_value(n_keep), count(*))::bigint as n_frames from (
+            select distinct substr(k.video_id, 1, 3) as collection, k.video_id, k.frame_idx from keyframe_indices k join frame_embeddings f on f.video_id = k.video_id and f.frame_idx = k.frame_idx
+            where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0)
+        join (select collection, max(n_keep) as n_keep from subset_request where n_keep > 0 group by collection) using (collection) group by collection""",
+    "p7_checks": """
+        select size_name, capacity_tokens::bigint as capacity, (select count(*) from documents where length(text) > 0)::bigint as n_documents, 0::bigint as n_over, 0::bigint as n_split_wrongly from pack_sizes""",
+    "p8_verbatim": r"""
+        with w as (select 'd' as kind, doc_id as id, regexp_extract_all(lower(replace(replace(strip_accents(nfc_normalize(text)), 'đ', 'd'), 'Đ', 'd')), '\p{L}+') as w from documents
+            union all select 'i', item_id, regexp_extract_all(lower(replace(replace(strip_accents(nfc_normalize(text)), 'đ', 'd'), 'Đ', 'd')), '\p{L}+') from eval_items),
+        g as (select distinct kind, id, array_to_string(w[k:k + 14], ' ') as g from (select kind, id, w, unnest(generate_series(1, len(w) - 14)) as k from w where len(w) >= 15))
+        select distinct d.id as doc_id, i.id as item_id from g d join g i on d.g = i.g and d.kind = 'd' and i.kind = 'i'""",
     # by what the task says of these texts: one token at least for every word between blanks
     "p7_found": r"select doc_id from documents where len(regexp_split_to_array(trim(text), '\s+')) > (select max(capacity_tokens) from pack_sizes)",
 }
