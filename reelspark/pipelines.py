@@ -230,3 +230,25 @@ def transcribe(videos: DataFrame, recognise: Step, maps: DataFrame, out: str, ex
     aligned = cut(transcripts.interval_join(known, maps), "aligned")
     sinks.speech_maps(aligned, f"{out}/asr_transcript", mode=mode)
     return aligned
+
+
+def encode_images(images: DataFrame, store: Store, encoder: Callable[[], Callable], dim: int, column: str = "values", size: int = 128, overwrite: bool = False, half: bool = True) -> DataFrame:
+    """Keyframe images to vectors of length one; returns those of the groups taken.
+
+    ``images``: the store's entity, ``image_id`` and ``column``, arrays of numbers of one length, usually from
+    :func:`reelspark.media.normalised_columns`. Groups that are done are passed over unless ``overwrite``.
+    """
+    groups = cut(store.pending("image_vectors", images.select(store.entity).distinct(), overwrite), "pending")
+    rows = images.join(groups, store.entity, "left_semi").select(store.entity, "image_id", column)
+    store.write("image_vectors", backends.run_batches(rows, encoder, column, dim, size=size, half=half), groups)
+    return store.read("image_vectors").join(images.select(store.entity).distinct(), store.entity, "left_semi")
+
+
+def resize_videos(videos: DataFrame, store: Store, chain: tuple[str, ...] = ("resize_hardware", "resize"), registry: backends.Registry | None = None, overwrite: bool = False) -> DataFrame:
+    """Videos (the store's entity, ``path``, ``out``) at another size by the first backend that does it; returns a row with ``status``
+    and ``error`` for each video tried. Those that fail count as not done and are tried again by the next run."""
+    new = cut(store.pending("resized", videos, overwrite), "pending")
+    tried = cut(backends.run(new, list(chain), "written string", [store.entity], registry), "tried")
+    done = tried.where("status = 'ok'")
+    store.write("resized", done.select(store.entity, "written", "backend"), done)
+    return tried

@@ -137,3 +137,27 @@ def test_batches_and_successes(spark):
     assert [r.path for r in backends.succeeded(failed).collect()] == ["b"]
     with pytest.raises(RuntimeError):
         backends.succeeded(failed.where("path = 'a'"), some=True)
+
+
+def test_encode_images_and_resize(spark, tmp_path):
+    store = pipelines.Store(spark, f"file://{tmp_path}/s", "group_id")
+    images = spark.createDataFrame([("g", "1", [3.0, 4.0]), ("g", "2", None), ("h", "1", [0.0, 2.0])], "group_id string, image_id string, values array<float>")
+    got = {(r.group_id, r.image_id): r.embedding for r in pipelines.encode_images(images, store, lambda: lambda x: x, 2).collect()}
+    assert np.allclose(got["g", "1"], [0.6, 0.8], atol=1e-3) and got["g", "2"] is None and got["h", "1"] == [0, 1]
+
+    def broken():
+        raise AssertionError("nothing is left to do")
+
+    assert pipelines.encode_images(images, store, lambda: lambda x: broken(), 2).count() == 3
+
+    class Resizer:
+        name = "r"
+
+        def __call__(self, row):
+            if row["path"] == "bad":
+                raise ValueError("no")
+            return [{"written": row["out"]}]
+
+    vids = spark.createDataFrame([("a", "ok", "o/a"), ("b", "bad", "o/b")], "group_id string, path string, out string")
+    run = lambda: {(r.group_id, r.status, r.written) for r in pipelines.resize_videos(vids, store, ("r",), {"r": Resizer}).collect()}
+    assert run() == {("a", "ok", "o/a"), ("b", "failed", None)} and run() == {("b", "failed", None)}
