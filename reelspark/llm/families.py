@@ -30,7 +30,7 @@ from reelspark.runtime import cut
 LEAF_ROWS = 256
 BLOCK_ROWS = 2048
 #: Clusters of one block when all are compared with all, and the least number of blocks, so that there is work for many tasks.
-CLUSTERS = 65_536
+CLUSTERS = 131_072
 BLOCKS = 8
 #: Clusters of either side that are compared in one step.
 TILE = (512, 4096)
@@ -134,8 +134,12 @@ def meet(rows: pa.Table, least: float, dim: int, basis: np.ndarray) -> tuple[np.
             wide = np.flatnonzero(size[to] > 1)
             if len(wide):
                 hit[:, wide] = short[at] @ short[to[wide]].T >= np.cos(np.minimum(np.pi, reach[:, None] + radius[to[wide]])) - 1e-5
-            hit &= group[at][:, None] != group[to][None, :]
-            r, c = np.nonzero(hit)
+            many = np.count_nonzero(hit)
+            if not many:
+                continue
+            if many > 4096:  # most are of one family by then
+                hit &= group[at][:, None] != group[to][None, :]
+            r, c = np.divmod(places(hit), len(to))
             r, c = at[r], to[c]
             if one:
                 r, c = r[r < c], c[r < c]
@@ -157,6 +161,15 @@ def meet(rows: pa.Table, least: float, dim: int, basis: np.ndarray) -> tuple[np.
     return np.concatenate([ids[tied], ids[p]]), np.concatenate([ids[group[tied]], ids[q]]), np.arange(len(tied) + len(p)) >= len(tied)
 
 
+def places(hit: np.ndarray) -> np.ndarray:
+    """Places of the true values in ``hit``, read row by row; eight are looked at at once, as few are true."""
+    flat = hit.ravel()
+    if flat.size % 8:
+        return np.flatnonzero(flat)
+    some = (np.flatnonzero(flat.view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return some[flat[some]]
+
+
 def directions(sample: np.ndarray, least: float) -> np.ndarray:
     """Orthogonal directions of which the first few tell most pairs apart: as many of the strongest of the sample as leave hardly
     a pair open when what is beyond them is only known by its length, or all."""

@@ -104,6 +104,13 @@ def test_shortened_products_are_bounds():
     assert basis.shape[1] < 64 and (short @ short.T >= x @ x.T - 1e-6).all()
 
 
+def test_places():
+    r = np.random.default_rng(2)
+    for shape in ((0, 5), (3, 5), (16, 8), (40, 64)):
+        hit = r.random(shape) < 0.1
+        assert families.places(hit).tolist() == np.flatnonzero(hit).tolist()
+
+
 def test_no_records(spark):
     df = spark.createDataFrame([], "id long, vec binary")
     assert families.Families(df, 0.89).members.count() == 0
