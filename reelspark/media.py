@@ -108,7 +108,8 @@ def encoded(pixels: np.ndarray, kind: str, quality: int = WEBP_QUALITY) -> bytes
 
 
 def put(path: str, content: bytes) -> None:
-    """A file in any file system that Arrow knows, written under another name first, so that none is ever half there."""
+    """A file in any file system that Arrow knows (a path without a scheme is local), written under another name first, so that none
+    is ever half there."""
     from pyarrow import fs
 
     system, where = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
