@@ -64,3 +64,36 @@ def test_a_quarter_is_always_enough():
     models = Fixed()
     models.calibrate(["a"] * 16, np.array([[1.0, 0.0]] * 16))
     assert models.accepted(np.array([[74, 26], [75, 25]])).all()
+
+
+def labelled(spark, docs):
+    """Documents and labels of ``(text, subject)``."""
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(docs)], "doc_id long, text string")
+    return df, spark.createDataFrame([(i, s, "q") for i, (_, s) in enumerate(docs)], "doc_id long, subject string, annotator string")
+
+
+def letters(i):
+    return "".join(chr(97 + int(c)) for c in str(i))
+
+
+def test_every_labelled_document_counts(spark):
+    """Many labelled documents and long ones are all trained on, whatever the partitions."""
+    names = ["food", "law"]
+    docs = [(f"own{letters(i)} {names[i % 2]} word", names[i % 2]) for i in range(4500)] + [("far " * 6000 + "end", "law")]
+    df, lab = labelled(spark, docs)
+    models = subjects.fit(df, lab, names)
+    own = subjects.words.split([" ".join(f"own{letters(i)}" for i in range(4500)) + " far end"]).key
+    assert np.isin(own, models.word).all()
+    other = subjects.fit(df.repartition(7), lab.repartition(3), names)
+    assert np.array_equal(models.of_pair, other.of_pair) and np.array_equal(models.pair, other.pair) and (models.share, models.evidence) == (other.share, other.evidence)
+
+
+def test_repeats_in_one_long_document_are_no_evidence(spark):
+    """Words of no subject that one long labelled document says thousands of times do not get its subject."""
+    texts, truth = corpus(4, 500)
+    docs = [(t, sorted(s)[0]) for t, s in zip(texts, truth, strict=True) if s]
+    docs.append((texts[0] + " and now we greet you" * 3000, "law"))
+    docs += [("and now we greet you", s) for s in ("law", "food", "sport") for _ in range(8)]
+    df, lab = labelled(spark, docs)
+    models = subjects.fit(df, lab, ["food", "law", "sport"])
+    assert not models.accepted(models.taken(subjects.words.split(["and now we greet you"] * 2))).any()
